@@ -10,6 +10,7 @@ from registra.functions import text as T
 from registra.llm.bpe import BytePairs
 from registra.llm.codepoints import consistent_names
 from registra.llm.leaks import contained_passages
+from registra.llm.names import name_clusters, variant_pairs
 from registra.llm.stuffed import stuffed_pages
 from registra.llm.survivors import judged_values, merged_records, representatives
 from registra.plans.register import delivered
@@ -32,6 +33,24 @@ def p2_names(spark: SparkSession, folder: str) -> DataFrame:
     return consistent_names(table(spark, folder, "curated_licence"), ["licence_rsn"], NAMES).select("licence_rsn", *NAMES)
 
 
+def holder_names(spark: SparkSession, folder: str) -> DataFrame:
+    """The name each row is known by, in consistent form and lower case."""
+    names = consistent_names(table(spark, folder, "curated_licence"), ["licence_rsn"], NAMES)
+    return names.select("licence_rsn", F.lower(F.coalesce(*NAMES)).alias("name"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of one holder under different spellings."""
+    return variant_pairs(holder_names(spark, folder), "licence_rsn", "name")
+
+
+def p3_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Each spelling that has a variant, with the least spelling of its holder and the number of spellings."""
+    stars = name_clusters(holder_names(spark, folder), "name")
+    heads = stars.groupBy("center").agg(F.min("name").alias("holder"), F.count(F.lit(1)).alias("spellings"))
+    return stars.join(heads, "center").select("name", "holder", "spellings")
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """The row that stands for each licence delivered more than once."""
     rows = delivered(spark, folder)
@@ -89,7 +108,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_names": p2_names, "p6_found": p6_found, "p6_values": p6_values, "p6_merged": p6_merged, "p8_ids": p8_ids, "p8_decoded": p8_decoded,
+    "p2_found": p2_found, "p2_names": p2_names, "p3_found": p3_found, "p3_clusters": p3_clusters, "p6_found": p6_found, "p6_values": p6_values, "p6_merged": p6_merged, "p8_ids": p8_ids, "p8_decoded": p8_decoded,
     "p9_found": p9_found, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores,
 }
 
