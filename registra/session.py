@@ -38,6 +38,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over enough partitions to keep every core busy, for few rows with much work each."""
+    spark = df.sparkSession
+    return df.repartition(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+
+
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no more than it must to know."""
     return df.limit(rows + 1).agg(F.count(F.lit(1))).first()[0] <= rows
