@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,9 +19,12 @@ POSTAL_SHAPE = r"^[ABCEGHJ-NPRSTVXY]\d[ABCEGHJ-NPRSTV-Z] \d[ABCEGHJ-NPRSTV-Z]\d$
 DECIMAL_SHAPE = r"(?U)^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,4})?\s*$"
 
 
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def bare(c: Column) -> Column:
     """Without outer white space of any kind."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def is_missing(c: Column) -> Column:
@@ -69,14 +74,29 @@ def spaced_key(c: Column) -> Column:
     return squeeze(F.regexp_replace(F.upper(ascii_fold(c)), "[^A-Z0-9 ]", " "))
 
 
-# Letters with marks and the plain letters they decompose to; letters that do not decompose are dropped.
-FOLD_FROM = "ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿŻżŹźŽžŚśŠšĆćČčŃńŇňĄąĘęĚěŘřŤťĎďŮůŐőŰűĞğİŞşŢţĂăĀāĒēĪīŌōŪū"
-FOLD_TO = "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOoooooUUUUuuuuYyyZzZzZzSsSsCcCcNnNnAaEeEeRrTtDdUuOoUuGgISsTtAaAaEeIiOoUu"
+def _folding() -> tuple[str, str]:
+    """Characters that decompose to one ASCII character and marks, and those characters; by rule, not by list."""
+    source, target = [], []
+    for cp in range(128, 0x20000):
+        if not 0xD800 <= cp < 0xE000:
+            plain = "".join(c for c in unicodedata.normalize("NFKD", chr(cp)) if c.isascii())
+            if len(plain) == 1:
+                source.append(chr(cp))
+                target.append(plain)
+    return "".join(source), "".join(target)
+
+
+FOLD_FROM, FOLD_TO = _folding()
+# Ligatures that decompose to several letters.
+LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
 
 
 def ascii_fold(c: Column) -> Column:
-    """Letters with marks to their plain letters; every other character beyond ASCII is dropped."""
-    return F.when(c.rlike(r"^\p{ASCII}*$"), c).otherwise(F.regexp_replace(F.translate(c, FOLD_FROM, FOLD_TO), r"[^\p{ASCII}]", ""))
+    """Letters with marks, wide and styled forms and ligatures to plain letters; every other character beyond ASCII is dropped."""
+    wide = c
+    for k, v in LIGATURES.items():
+        wide = F.replace(wide, F.lit(k), F.lit(v))
+    return F.when(c.rlike(r"^\p{ASCII}*$"), c).otherwise(F.regexp_replace(F.translate(wide, FOLD_FROM, FOLD_TO), r"[^\p{ASCII}]", ""))
 
 
 def postal(c: Column) -> Column:
