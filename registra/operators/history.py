@@ -27,20 +27,18 @@ def snapshot_events(snapshots: DataFrame, tracked: list[str]) -> DataFrame:
     known one. Snapshot n is matched with snapshot n-1 by a full outer join on entity and number: no
     earlier side is an insertion, no later side ends the entity (deletion after the last snapshot),
     both sides are a change if a value differs from a known earlier one. Entities with a null key
-    must be left out before. Returns ``_entity``, ``_day``, ``_kind``, ``tracked``.
+    must be left out before. Returns ``_entity``, ``_day``, ``_kind``,
+    ``_changed`` (the names of the values that differ) and ``tracked``.
     """
     seen = Window.partitionBy("_entity").orderBy("_day")
     filled = snapshots.select("_entity", "_day", F.row_number().over(seen).alias("_n"), *[F.last(c, True).over(seen).alias(c) for c in tracked])
     now = filled.select("_entity", "_n", "_day", F.struct(*tracked).alias("_now"))
     before = filled.select("_entity", (F.col("_n") + 1).alias("_n"), F.col("_day").alias("_last_day"), F.struct(*tracked).alias("_before"))
     both = now.join(before, ["_entity", "_n"], "full")
-    differs = [F.col(f"_before.{c}").isNotNull() & ~F.col(f"_before.{c}").eqNullSafe(F.col(f"_now.{c}")) for c in tracked]
-    changed = differs[0]
-    for d in differs[1:]:
-        changed = changed | d
-    kind = F.when(F.col("_before").isNull(), "inserted").when(F.col("_now").isNull(), "deleted").when(changed, "changed")
-    events = both.withColumn("_kind", kind).filter("_kind is not null")
-    return events.select("_entity", F.coalesce("_day", "_last_day").alias("_day"), "_kind", *[F.col(f"_now.{c}").alias(c) for c in tracked])
+    changed = F.array_compact(F.array(*[F.when(F.col(f"_before.{c}").isNotNull() & ~F.col(f"_before.{c}").eqNullSafe(F.col(f"_now.{c}")), F.lit(c)) for c in tracked]))
+    kind = F.when(F.col("_before").isNull(), "inserted").when(F.col("_now").isNull(), "deleted").when(F.size("_changed") > 0, "changed")
+    events = both.withColumn("_changed", changed).withColumn("_kind", kind).filter("_kind is not null")
+    return events.select("_entity", F.coalesce("_day", "_last_day").alias("_day"), "_kind", "_changed", *[F.col(f"_now.{c}").alias(c) for c in tracked])
 
 
 def attribute_versions(snapshots: DataFrame, tracked: list[str]) -> DataFrame:

@@ -1,6 +1,6 @@
 """Named queries over the tables of a data folder, and the same in SQL."""
 
-from registra.plans import register, register_sql
+from registra.plans import reference, reference_sql, register, register_sql
 
-CATALOGUE = {**register.QUERIES}
-ORACLES = {**register_sql.SQL}
+CATALOGUE = {**reference.QUERIES, **register.QUERIES}
+ORACLES = {**reference_sql.SQL, **register_sql.SQL}
