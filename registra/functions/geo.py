@@ -10,30 +10,28 @@ from registra.functions.text import number
 EARTH_KM = 6371.0
 
 
-def _both(lat: Column, lon: Column) -> Column:
-    """A pair if both parts are numbers; else null."""
-    return F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lat.alias("lat"), lon.alias("lon")))
+def _both(pair: Column) -> Column:
+    """``lat`` and ``lon`` of a pair of texts if both are numbers; else null."""
+    spot = F.struct(number(pair["lat"]).alias("lat"), number(pair["lon"]).alias("lon"))
+    return F.get(F.filter(F.array(spot), lambda s: s["lat"].isNotNull() & s["lon"].isNotNull()), 0)
 
 
 def point_object(c: Column) -> Column:
     """``{"lat": .., "lon": ..}``."""
-    return _both(number(F.get_json_object(c, "$.lat")), number(F.get_json_object(c, "$.lon")))
+    return _both(F.from_json(c, "lat string, lon string"))
 
 
 def point_text(c: Column) -> Column:
     """``lat, lon`` in this order, nothing else around it."""
-    shape = r"^\s*([+-]?\d+(?:\.\d+)?)\s*,\s*([+-]?\d+(?:\.\d+)?)\s*$"
-    return _both(number(F.nullif(F.regexp_extract(c, shape, 1), F.lit(""))), number(F.nullif(F.regexp_extract(c, shape, 2), F.lit(""))))
+    parts = F.split(F.when(c.rlike(r"^\s*[+-]?\d+(\.\d+)?\s*,\s*[+-]?\d+(\.\d+)?\s*$"), c), ",")
+    return _both(F.struct(F.get(parts, 0).alias("lat"), F.get(parts, 1).alias("lon")))
 
 
 def geometry(c: Column) -> Column:
     """A GeoJSON point, bare or in a feature, whose coordinates come as ``[lon, lat]``."""
-    wrapped = F.get_json_object(c, "$.geometry").isNotNull()
-
-    def part(i: int) -> Column:
-        return number(F.when(wrapped, F.get_json_object(c, f"$.geometry.coordinates[{i}]")).otherwise(F.get_json_object(c, f"$.coordinates[{i}]")))
-
-    return _both(part(1), part(0))
+    read = F.from_json(c, "geometry struct<coordinates: array<string>>, coordinates array<string>")
+    spots = F.when(read["geometry"].isNotNull(), read["geometry"]["coordinates"]).otherwise(read["coordinates"])
+    return _both(F.struct(F.get(spots, 1).alias("lat"), F.get(spots, 0).alias("lon")))
 
 
 def coordinates(point: Column, geom: Column) -> Column:

@@ -16,7 +16,8 @@ NO_VALUE = (
 # Fixed value: the shape of a Canadian postal code.
 POSTAL_SHAPE = r"^[ABCEGHJ-NPRSTVXY]\d[ABCEGHJ-NPRSTV-Z] \d[ABCEGHJ-NPRSTV-Z]\d$"
 
-DECIMAL_SHAPE = r"(?U)^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,4})?\s*$"
+# At most 200 digits before the point and two in the exponent, hence always finite.
+DECIMAL_SHAPE = r"(?U)^\s*[+-]?([0-9]{1,200}(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,2})?\s*$"
 
 
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
@@ -38,8 +39,7 @@ def is_decimal(c: Column) -> Column:
 
 def number(c: Column) -> Column:
     """Double of a decimal text; null for anything else (hex, ``1_000``, ``True``, ``2f``, infinities)."""
-    value = F.when(is_decimal(c), bare(c).try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.when(is_decimal(c), bare(c).try_cast("double"))
 
 
 def whole_number(c: Column) -> Column:
@@ -53,6 +53,11 @@ def rounded_number(c: Column) -> Column:
     return F.bround(number(c), 0).try_cast("bigint")
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """Half up to so many digits in binary arithmetic, as other engines do it too."""
+    return F.floor(c * F.lit(10.0**digits) + F.lit(0.5)) / F.lit(10.0**digits)
+
+
 def squeeze(c: Column) -> Column:
     """Outer blanks off, inner white space to one blank, empty to null."""
     return F.nullif(F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), "^ | $", ""), F.lit(""))

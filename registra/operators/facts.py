@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from registra.functions import dates as D
 from registra.functions import geo as G
+from registra.functions import text as T
 from registra.operators.dimensions import address_key, business_identity, member_key, sequence_order
 from registra.operators.history import latest_per_day, snapshot_events
 from registra.operators.sequence import as_of, first_known, greatest_per, last_known, per_year, previous_rows, year_before
@@ -22,7 +24,10 @@ def keyed_licences(df: DataFrame) -> DataFrame:
     for name in ("issued", "expired"):
         day = D.utc_day(F.col(f"{name}_date"), df.schema[f"{name}_date"].dataType)
         keys[f"{name}_key"] = F.coalesce(D.ymd(day), F.lit(UNKNOWN).cast("bigint"))
-    return keyed.withColumns(keys)
+    out = keyed.withColumns(keys)
+    if isinstance(df.schema["expired_date"].dataType, DateType):  # midnight UTC of the day
+        out = out.withColumn("expired_date", F.timestamp_micros(F.unix_date("expired_date").cast("bigint") * F.lit(D.DAY_MICROS)))
+    return out
 
 
 def sequence_flags(fact: DataFrame, entity: str = "business_sk") -> DataFrame:
@@ -35,6 +40,8 @@ def sequence_flags(fact: DataFrame, entity: str = "business_sk") -> DataFrame:
     """
     order = sequence_order()
     revision = F.coalesce("licence_revision_number", F.lit(-1))
+    if taken := {"_l", "_rev", "_e", "_end"} & {*fact.columns}:
+        fact = fact.drop(*taken)
     top = fact.filter("licence_number is not null").groupBy(F.col("licence_number").alias("_l")).agg(F.max(revision).alias("_rev"))
     ends = greatest_per(fact, entity, order, "_end", F.col("issued_date").isNotNull())
     joined = fact.join(top, F.col("licence_number") == F.col("_l"), "left").join(ends, F.col(entity) == F.col("_e"), "left")
@@ -57,7 +64,7 @@ def lifecycles(fact: DataFrame) -> DataFrame:
         *[last_known(c, order).alias(f"latest_{c}") for c in ("status", "category_sk", "neighbourhood_sk", "address_sk")],
     )
     span = D.floor_days(F.coalesce("last_expired", "last_issued"), F.col("first_issued"))
-    return out.withColumns({"span_days": span, "span_years": F.round(span / 365.25, 3)})
+    return out.withColumns({"span_days": span, "span_years": T.rounded(span / 365.25, 3)})
 
 
 def relocations(fact: DataFrame, addresses: DataFrame) -> DataFrame:
@@ -75,7 +82,7 @@ def relocations(fact: DataFrame, addresses: DataFrame) -> DataFrame:
     moved = lagged.filter("from_address_sk is not null and from_address_sk <> address_sk")
     a = addresses.select(F.col("address_sk").alias("from_address_sk"), F.nanvl("latitude", F.lit(None).cast("double")).alias("_lat1"), F.nanvl("longitude", F.lit(None).cast("double")).alias("_lon1"))
     b = addresses.select("address_sk", F.nanvl("latitude", F.lit(None).cast("double")).alias("_lat2"), F.nanvl("longitude", F.lit(None).cast("double")).alias("_lon2"))
-    km = F.round(G.haversine_km(F.col("_lat1"), F.col("_lon1"), F.col("_lat2"), F.col("_lon2")), 3)
+    km = T.rounded(G.haversine_km(F.col("_lat1"), F.col("_lon1"), F.col("_lat2"), F.col("_lon2")), 3)
     out = moved.join(a, "from_address_sk", "left").join(b, "address_sk", "left")
     return out.select(
         "business_sk", "from_folder_year", F.col("folder_year").alias("to_folder_year"), "from_address_sk", F.col("address_sk").alias("to_address_sk"), "from_licence_number",

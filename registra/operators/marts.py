@@ -8,6 +8,7 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from registra.functions import text as T
 from registra.operators.facts import lifecycles, relocations, sequence_flags
 from registra.operators.quality import overlapping
 from registra.session import small_side
@@ -23,8 +24,8 @@ def activity_by_area(fact: DataFrame, areas: DataFrame, states: list[str], ended
     wide = rows.groupBy("neighbourhood_sk").pivot("status", states).agg(F.count_distinct("business_sk")).na.fill(0)
     names = {s: s.lower().replace(" ", "_") for s in states}
     wide = wide.select("neighbourhood_sk", *[F.col(f"`{s}`").alias(n) for s, n in names.items()])
-    total, over = reduce(add, [F.col(n) for n in names.values()]), reduce(add, [F.col(names[s]) for s in ended])
-    counted = wide.withColumns({"total": total, "ended": over}).withColumn("ended_rate", F.round(F.try_divide(F.col("ended"), F.nullif(F.col("total"), F.lit(0))), 4))
+    total, over = reduce(add, [F.col(n) for n in names.values()]), reduce(add, [F.col(names[s]) for s in ended], F.lit(0).cast("bigint"))
+    counted = wide.withColumns({"total": total, "ended": over}).withColumn("ended_rate", T.rounded(F.try_divide(F.col("ended"), F.nullif(F.col("total"), F.lit(0))), 4))
     return counted.join(small_side(areas.select("neighbourhood_sk", "local_area")), "neighbourhood_sk", "left").withColumn("local_area", F.coalesce("local_area", F.lit("Unknown")))
 
 
@@ -38,7 +39,7 @@ def spans_by_category(fact: DataFrame, categories: DataFrame, first_year: int |
         lives = lives.filter(F.col("first_folder_year") > first_year)
     years = F.col("span_years")
     out = lives.groupBy(F.col("latest_category_sk").alias("category_sk")).agg(
-        F.count(F.lit(1)).alias("business_count"), F.round(F.avg(years), 2).alias("avg_years"), F.round(F.median(years), 2).alias("median_years"), F.min(years).alias("min_years"), F.max(years).alias("max_years")
+        F.count(F.lit(1)).alias("business_count"), T.rounded(F.avg(years), 2).alias("avg_years"), T.rounded(F.median(years), 2).alias("median_years"), F.min(years).alias("min_years"), F.max(years).alias("max_years")
     )
     labels = small_side(categories.select("category_sk", "business_type", "business_subtype"))
     return out.join(labels, "category_sk", "left").withColumn("cohort", F.lit("all" if first_year is None else "observed"))

@@ -9,6 +9,7 @@ from registra.functions import dates as D
 from registra.functions import geo as G
 from registra.functions import text as T
 from registra.schema import GEO, Rules
+from registra.session import free
 
 
 def standardise(df: DataFrame, rules: Rules) -> DataFrame:
@@ -73,10 +74,11 @@ def one_per_key(df: DataFrame, key: str, order: list[Column], row_id: str) -> tu
     """
     known = df.filter(F.col(key).isNotNull())
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], (-F.col(row_id)).alias("r"))
-    best = known.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.col(row_id), rank).alias("_best"))
-    judged = known.join(best, F.col(key) == F.col("_key")).drop("_key")
-    kept = judged.filter(F.col(row_id) == F.col("_best")).drop("_best")
-    lost = judged.filter(F.col(row_id) != F.col("_best")).drop("_best").withColumn("dq_reject_reason", F.lit(f"duplicate_{key}_lost_tiebreak"))
+    of, won = free(df, "_key"), free(df, "_best")
+    best = known.groupBy(F.col(key).alias(of)).agg(F.max_by(F.col(row_id), rank).alias(won))
+    judged = known.join(best, F.col(key) == F.col(of)).drop(of)
+    kept = judged.filter(F.col(row_id) == F.col(won)).drop(won)
+    lost = judged.filter(F.col(row_id) != F.col(won)).drop(won).withColumn("dq_reject_reason", F.lit(f"duplicate_{key}_lost_tiebreak"))
     return kept, df.filter(F.col(key).isNull()).withColumn("dq_reject_reason", F.lit(f"null_{key}")).unionByName(lost)
 
 

@@ -261,7 +261,7 @@ def address_change(spark, folder):
 
 def haversine(spark, folder):
     a = table(spark, folder, "dim_address").filter("latitude is not null and not isnan(latitude)")
-    return a.select("address_sk", F.round(G.haversine_km(F.col("latitude"), F.col("longitude"), F.lit(49.25), F.lit(-123.1)), 3).alias("km"))
+    return a.select("address_sk", T.rounded(G.haversine_km(F.col("latitude"), F.col("longitude"), F.lit(49.25), F.lit(-123.1)), 3).alias("km"))
 
 
 def business_history(spark, folder):

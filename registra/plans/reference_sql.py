@@ -35,6 +35,10 @@ def _century(c: str) -> str:
     return f"(case when {c} < 80 then {c} + 2000 when {c} < 100 then {c} + 1900 else {c} end)"
 
 
+def _rounded(c: str, digits: int) -> str:
+    return f"floor(({c}) * {10.0**digits} + 0.5) / {10.0**digits}"
+
+
 def _squeeze(c: str) -> str:
     return f"nullif(trim(regexp_replace({c}, '{_BLANK}', ' ', 'g')), '')"
 
@@ -168,8 +172,8 @@ def _floor(a: str, b: str) -> str:
 _SPAN = _floor("coalesce(max(expired_date), max(issued_date))", "min(issued_date)")
 LIVES = f"""{CURRENT}, lives as (select business_sk, count(distinct licence_number) as licence_count, count(*) as record_count, min(issued_date) as first_issued, max(issued_date) as last_issued,
   max(expired_date) as last_expired, min(folder_year) as first_folder_year, max(folder_year) as last_folder_year,
-  {", ".join(f"{_last(c)} as latest_{c}" for c in ("status", "category_sk", "neighbourhood_sk", "address_sk"))}, {_SPAN} as span_days, round({_SPAN} / 365.25, 3) as span_years from cur group by business_sk)"""
-_KM = f"round(2 * {EARTH_KM} * asin(sqrt(least(pow(sin(radians(b.latitude - a.latitude) / 2), 2) + cos(radians(a.latitude)) * cos(radians(b.latitude)) * pow(sin(radians(b.longitude - a.longitude) / 2), 2), 1.0))), 3)"
+  {", ".join(f"{_last(c)} as latest_{c}" for c in ("status", "category_sk", "neighbourhood_sk", "address_sk"))}, {_SPAN} as span_days, {_rounded(_SPAN + " / 365.25", 3)} as span_years from cur group by business_sk)"""
+_KM = _rounded(f"2 * {EARTH_KM} * asin(sqrt(least(pow(sin(radians(b.latitude - a.latitude) / 2), 2) + cos(radians(a.latitude)) * cos(radians(b.latitude)) * pow(sin(radians(b.longitude - a.longitude) / 2), 2), 1.0)))", 3)
 MOVES = f"""{CURRENT}, yr as (select business_sk, folder_year, count(distinct address_sk) as sites, {_first("address_sk")} as address_sk, {_first("neighbourhood_sk")} as neighbourhood_sk, {_first("licence_number")} as licence_number, min(issued_date) as changed_on
   from cur where address_sk <> -1 and folder_year is not null group by all),
 one as (select * from yr where business_sk not in (select business_sk from yr where sites > 1)),
@@ -264,8 +268,8 @@ SQL = {
     "mart_neighbourhood": f"""with {FLAGS}, r as (select * from flags where is_current_revision and business_sk <> -1 and (issued_date is null or {_day("issued_date")} <= date '{END}') and (expired_date is null or {_day("expired_date")} >= date '{START}')),
       w as (select neighbourhood_sk, {", ".join(f"count(distinct business_sk) filter (status = '{s}') as {n}" for s, n in _COL.items())} from r group by 1),
       t as (select *, {" + ".join(_COL.values())} as total, {" + ".join(_COL[s] for s in ENDED)} as ended from w)
-      select t.*, round(ended / nullif(total, 0), 4) as ended_rate, coalesce(local_area, 'Unknown') as local_area from t left join dim_neighbourhood using (neighbourhood_sk)""",
-    "mart_lifespan": f"""with {LIVES}, m as (select latest_category_sk as category_sk, count(*) as business_count, round(avg(span_years), 2) as avg_years, round(median(span_years), 2) as median_years, min(span_years) as min_years, max(span_years) as max_years
+      select t.*, {_rounded("ended / nullif(total, 0)", 4)} as ended_rate, coalesce(local_area, 'Unknown') as local_area from t left join dim_neighbourhood using (neighbourhood_sk)""",
+    "mart_lifespan": f"""with {LIVES}, m as (select latest_category_sk as category_sk, count(*) as business_count, {_rounded("avg(span_years)", 2)} as avg_years, {_rounded("median(span_years)", 2)} as median_years, min(span_years) as min_years, max(span_years) as max_years
       from lives where span_years is not null and span_days >= 0 and first_folder_year > 2015 group by 1) select m.*, business_type, business_subtype, 'observed' as cohort from m left join dim_category using (category_sk)""",
     "mart_address": f"""with {MOVES} select moves.* replace ({_sec("changed_on")} as changed_on), a.street as from_street, b.street as to_street, x.local_area as from_local_area, y.local_area as to_local_area from moves
       left join dim_address a on a.address_sk = from_address_sk left join dim_address b on b.address_sk = to_address_sk left join dim_neighbourhood x on x.neighbourhood_sk = from_neighbourhood_sk left join dim_neighbourhood y on y.neighbourhood_sk = to_neighbourhood_sk""",

@@ -56,43 +56,51 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("_entity").alias("business_sk"), "kind", D.ymd(F.col("first_day")).alias("first_day"), D.ymd(F.col("last_day")).alias("last_day"))
 
 
+YEAR, DAY, LICENCE = "__load_year", "__load_day", "__licence"
+
+
 def delivered(spark: SparkSession, folder: str) -> DataFrame:
     """records with the load (four-digit year, UTC day of the extract) and the licence's number."""
     rows = table(spark, folder, "records")
     return rows.withColumns(
         {
-            "_year": D.century(T.whole_number(F.col("folderyear"))),
-            "_day": D.utc_day(D.iso_instant(F.col("extractdate"))),
-            "_key": T.whole_number(F.col("licencersn")),
+            YEAR: D.century(T.whole_number(F.col("folderyear"))),
+            DAY: D.utc_day(D.iso_instant(F.col("extractdate"))),
+            LICENCE: T.whole_number(F.col("licencersn")),
         }
     )
 
 
+def delivered_columns(rows: DataFrame, *without: str) -> list[str]:
+    """The columns as delivered, but for ``without`` and what ``delivered`` adds."""
+    return [c for c in rows.columns if c not in ("record_no", YEAR, DAY, LICENCE, *without)]
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Licences added, removed or changed from each load of a folder year to the next."""
     rows = delivered(spark, folder)
-    compared = [c for c in rows.columns if c not in ("record_no", "licencersn", "extractdate") and not c.startswith("_")]
-    changes = snapshot_changes(rows, "_year", "_day", "_key", compared)
+    compared = delivered_columns(rows, "licencersn", "extractdate")
+    changes = snapshot_changes(rows, YEAR, DAY, LICENCE, compared)
     return changes.select(F.col("_g").alias("folder_year"), F.col("_key").alias("licence_rsn"), D.iso_day(F.col("_at")).alias("extract_day"), "change")
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     """Breaks of each column of each load against the load before it."""
     rows = delivered(spark, folder)
-    columns = [c for c in rows.columns if c != "record_no" and not c.startswith("_")]
-    loads, _, breaks = profile_loads(rows, "_year", "_day", columns, RECORD_RULES)
+    columns = delivered_columns(rows)
+    loads, _, breaks = profile_loads(rows, YEAR, DAY, columns, RECORD_RULES)
     return breaks.join(loads, ["_g", "_n"]).select(F.col("_g").alias("folder_year"), D.iso_day(F.col("_at")).alias("extract_day"), "column_name", "finding")
 
 
 def p7_profile(spark: SparkSession, folder: str) -> DataFrame:
     """The profile itself: rows, missing, distinct values, range, values without the form, entropy."""
     rows = delivered(spark, folder)
-    columns = [c for c in rows.columns if c != "record_no" and not c.startswith("_")]
-    loads, profiles, _ = profile_loads(rows, "_year", "_day", columns, RECORD_RULES)
+    columns = delivered_columns(rows)
+    loads, profiles, _ = profile_loads(rows, YEAR, DAY, columns, RECORD_RULES)
     return profiles.filter("rows > 0").join(loads, ["_g", "_n"]).select(
         F.col("_g").alias("folder_year"), D.iso_day(F.col("_at")).alias("extract_day"), "column_name", F.col("rows").alias("row_count"),
         F.col("missing").alias("missing_count"), F.col("distinct").alias("distinct_count"), F.col("least").alias("least_value"), F.col("most").alias("greatest_value"),
-        F.col("lacking").alias("without_form"), F.round("entropy", 6).alias("entropy_bits"),
+        F.col("lacking").alias("without_form"), T.rounded(F.col("entropy"), 6).alias("entropy_bits"),
     )
 
 
@@ -102,9 +110,9 @@ def p7_deltas(spark: SparkSession, folder: str) -> DataFrame:
     from registra.operators.snapshots import number_loads
 
     rows = delivered(spark, folder)
-    columns = [c for c in rows.columns if c != "record_no" and not c.startswith("_")]
-    loads = number_loads(rows.select("_year", "_day"), "_year", "_day")
-    deltas = signed_deltas(value_counts(rows, "_year", "_day", columns), loads)
+    columns = delivered_columns(rows)
+    loads = number_loads(rows.select(YEAR, DAY), YEAR, DAY)
+    deltas = signed_deltas(value_counts(rows, YEAR, DAY, columns), loads)
     known = F.col("value").isNotNull()
     return (
         deltas.groupBy("_g", "_n", "column_name")

@@ -7,7 +7,7 @@ from registra.plans.register import RECORD_RULES
 
 _DAY = "cast(({} at time zone 'UTC') as date)"
 _YMD = "cast(strftime({}, '%Y%m%d') as bigint)"
-DECIMAL = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,4})?\s*$"
+DECIMAL = r"^\s*[+-]?([0-9]{1,200}(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,2})?\s*$"
 ISO = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})$"
 
 RECORD_COLUMNS = (
@@ -40,7 +40,7 @@ prev as (select *, row_number() over w as n, {", ".join(f"lag({c}) over w as p_{
 st as (select * from prev where n = 1 or {" or ".join(f"(p_{c} is not null and {c} is distinct from p_{c})" for c in ("business_name", "status", "address_sk", "category_sk"))})
 select business_sk, {_YMD.format("d")} as valid_from, coalesce({_YMD.format("lead(d) over (partition by business_sk order by d)")}, 99991231) as valid_to@MORE@ from st"""
 
-PERIODS = f"""with iv as (select business_sk, {_DAY.format("issued_date")} as s, {_DAY.format("expired_date")} as e from fact_licence where business_sk <> -1),
+PERIODS = f"""with iv as (select distinct business_sk, {_DAY.format("issued_date")} as s, {_DAY.format("expired_date")} as e from fact_licence where business_sk <> -1),
 m as (select *, max(e) over (partition by business_sk order by s, e rows between unbounded preceding and 1 preceding) as before from iv where e >= s),
 isl as (select *, sum(case when before is null or s > before + 1 then 1 else 0 end) over (partition by business_sk order by s, e rows unbounded preceding) as i from m),
 p as (select business_sk, i, min(s) as s, max(e) as e from isl group by all)
@@ -87,7 +87,7 @@ select cast(g as bigint) as folder_year, strftime(dt, '%Y-%m-%d') as extract_day
 PROFILE = f"""{CELLS}
 select cast(g as bigint) as folder_year, strftime(dt, '%Y-%m-%d') as extract_day, column_name, cast(sum(n) as bigint) as row_count, cast(coalesce(sum(n) filter (v is null), 0) as bigint) as missing_count,
   count(v) as distinct_count, min(v) as least_value, max(v) as greatest_value, cast(coalesce(sum(n) filter (lack), 0) as bigint) as without_form,
-  round(log2(sum(n) filter (v is not null)) - sum(n * log2(n)) filter (v is not null) / sum(n) filter (v is not null), 6) as entropy_bits from f group by all"""
+  floor((log2(sum(n) filter (v is not null)) - sum(n * log2(n)) filter (v is not null) / sum(n) filter (v is not null)) * 1000000 + 0.5) / 1000000 as entropy_bits from f group by all"""
 
 DELTAS = f"""{CELLS}, m as (select f.g, f.column_name, f.v, f.n as c, l.n, l.dt from f join loads l using (g, dt)),
 j as (select coalesce(a.g, b.g) as g, coalesce(a.column_name, b.column_name) as column_name, coalesce(a.v, b.v) as v, coalesce(a.n, b.n + 1) as n, coalesce(a.c, 0) as c, coalesce(b.c, 0) as bc

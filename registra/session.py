@@ -54,6 +54,13 @@ def small_side(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if fits(df, rows) else df
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until ``df`` has no such column."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Read one Parquet table of a data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
