@@ -13,7 +13,7 @@ from registra.llm.leaks import contained_passages
 from registra.llm.names import name_clusters, variant_pairs
 from registra.llm.stuffed import stuffed_pages
 from registra.llm.survivors import judged_values, merged_records, representatives
-from registra.plans.register import delivered
+from registra.plans.register import DAY, LICENCE, YEAR, delivered, delivered_columns
 from registra.plans.register_sql import DECIMAL, ISO, RECORD_COLUMNS, missing, whole
 from registra.session import table
 
@@ -54,15 +54,16 @@ def p3_clusters(spark: SparkSession, folder: str) -> DataFrame:
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """The row that stands for each licence delivered more than once."""
     rows = delivered(spark, folder)
-    columns = [c for c in rows.columns if c != "record_no" and not c.startswith("_")]
+    columns = delivered_columns(rows)
     order = [D.iso_instant(F.col("extractdate")), F.when(~T.is_missing(F.col("licencerevisionnumber")), T.number(F.col("licencerevisionnumber")))]
-    picked = representatives(rows, "_key", "record_no", columns, order)
-    return picked.filter("n > 1").select(F.col("_key").alias("licence_rsn"), "record_no")
+    picked = representatives(rows, LICENCE, "record_no", columns, order)
+    return picked.filter("n > 1").select(F.col(LICENCE).alias("licence_rsn"), "record_no")
 
 
 def _judged(spark: SparkSession, folder: str) -> DataFrame:
-    rows = delivered(spark, folder).withColumn("_load", F.concat_ws("/", F.col("_year").cast("string"), D.iso_day(F.col("_day"))))
-    return judged_values(rows.filter("_year is not null and _day is not null"), "_key", "_load", MERGED)
+    rows = delivered(spark, folder)
+    load = F.when(F.col(YEAR).isNotNull() & F.col(DAY).isNotNull(), F.concat_ws("/", F.col(YEAR).cast("string"), D.iso_day(F.col(DAY))))
+    return judged_values(rows.withColumn("__load", load), LICENCE, "__load", MERGED)
 
 
 def p6_values(spark: SparkSession, folder: str) -> DataFrame:
