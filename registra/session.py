@@ -44,6 +44,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
 
 
+def busy(df: DataFrame) -> DataFrame:
+    """``df`` as it is, or shuffled once where its input comes in fewer pieces than there are cores.
+
+    For scans that feed much work per row; large inputs come in enough pieces and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def fits(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no more than it must to know."""
     return df.limit(rows + 1).agg(F.count(F.lit(1))).first()[0] <= rows
