@@ -16,6 +16,8 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from registra.session import busy
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the vocabulary's split pattern, with Unicode white space as its own library has it.
 SPLIT = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -102,7 +104,7 @@ class BytePairs:
         runtime's Unicode version split as signs. A single word of n bytes costs up to n times n steps.
         """
         salts = salts or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-        rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+        rows = busy(df.select(F.col(key).alias("_key"), F.col(text).alias("_text")))
         own = F.md5(F.concat(F.coalesce(F.col("_key").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("_text", F.lit(""))).cast("binary"))
         words = F.transform(F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit(SPLIT), F.lit(0)), lambda w: F.decode(F.encode(w, "UTF-8"), "ISO-8859-1"))
         split = rows.select("_key", own.alias("_own"), words.alias("_words"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from registra.session import cut, small_side
+from registra.session import busy, cut, small_side
 
 _COMMENT = re.compile(r"<!--.*?-->", re.S)
 _INLINE = re.compile(r"</?(?:b|i|em|strong|u|s|wbr|sub|sup|small|big|mark|font|code)(?:\s[^<>]*)?/?>", re.I)
@@ -95,7 +95,7 @@ def contained_passages(docs: DataFrame, doc_id: str, items: DataFrame, item_id:
     probes = item_words.select("_item", F.explode(_signatures(F.col("_s"), width)).alias("_sig")).distinct()
     item_runs = item_words.select("_item", F.array_distinct(_exact(F.col("_w"), least)).alias("_runs")).filter(F.size("_runs") > 0)
 
-    corpus = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).filter("_text is not null").withColumn("_own", F.md5(F.col("_text").cast("binary")))
+    corpus = busy(docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).filter("_text is not null")).withColumn("_own", F.md5(F.col("_text").cast("binary")))
     shingled = corpus.select("_own", words_of(F.col("_text")).alias("_w")).select("_own", _runs(F.col("_w"), shingle).alias("_s"))
     signed = shingled.select("_own", F.explode(_signatures(F.col("_s"), width)).alias("_sig"))
     candidates = cut(signed.join(small_side(probes), "_sig").select("_own", "_item").distinct())

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registra.session import cut, fits, small_side
+from registra.session import busy, cut, fits, small_side
 
 # Common function words of English, French and Spanish.
 FUNCTION_WORDS = (
@@ -134,7 +134,7 @@ def stuffed_pages(docs: DataFrame, doc_id: str, labels: DataFrame, text: str = "
     counts cover all documents and whole texts. Null and empty texts score as empty pages. Repeated rows
     and null ids keep a row each. Without labels of both kinds a fixed score is used.
     """
-    pages = page_features(docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text"), F.col(host).alias("_source")), "_text").drop("_text")
+    pages = page_features(busy(docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text"), F.col(host).alias("_source"))), "_text").drop("_text")
     elsewhere = phrases_elsewhere(pages, "_source")
     known = pages.drop("_words").join(elsewhere, "_own", "left").withColumn("elsewhere_share", F.coalesce("elsewhere_share", F.lit(0.0)))
     known = cut(known.select("_doc", *FEATURES))
