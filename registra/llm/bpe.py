@@ -16,7 +16,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registra.session import busy
+from registra.session import busy, spread
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the vocabulary's split pattern, with Unicode white space as its own library has it.
@@ -99,8 +99,8 @@ class BytePairs:
 
         Null and empty texts give an empty list. Repeated keys and rows each give a row, null keys too;
         other columns are left out. A word that is a piece itself gets its id in place. The other words
-        are encoded once per distinct word and salt (a hash of the row, so a word in a third of all
-        texts spreads over the partitions), and only those words travel. Letters newer than the Java
+        are encoded once per distinct word, and only those words travel; their ids come back to the
+        texts by word and salt (a hash of the row), so a word in a third of all texts spreads. Letters newer than the Java
         runtime's Unicode version split as signs. A single word of n bytes costs up to n times n steps.
         """
         salts = salts or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
@@ -112,8 +112,9 @@ class BytePairs:
         known = F.transform("_ids", lambda i: F.coalesce(i, F.lit(-1)))
         lacking = F.filter(F.transform("_words", lambda w, i: F.when(F.get("_ids", i).isNull(), F.struct(i.alias("at"), w.alias("word")))), lambda x: x.isNotNull())
         unknown = split.select("_own", F.inline(lacking)).withColumn("_salt", F.pmod(F.xxhash64("_own"), F.lit(salts)).cast("int"))
-        encoded = unknown.select("word", "_salt").distinct().select("word", "_salt", self.merge(F.col("word")).alias("ids"))
-        filled = unknown.join(encoded, ["word", "_salt"]).groupBy("_own").agg(F.array_sort(F.collect_set(F.struct("at", "ids"))).alias("_fill"))
+        salted = unknown.select("word", "_salt").distinct()
+        encoded = spread(salted.select("word").distinct()).select("word", self.merge(F.col("word")).alias("ids"))
+        filled = unknown.join(salted.join(encoded, "word"), ["word", "_salt"]).groupBy("_own").agg(F.array_sort(F.collect_set(F.struct("at", "ids"))).alias("_fill"))
         joined = split.select("_key", "_own", known.alias("_known")).join(filled, "_own", "left")
 
         at = F.transform("_fill", lambda x: x["at"])
