@@ -13,8 +13,10 @@ import zlib
 from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.classic.column import Column as ClassicColumn
 
 from registra.session import busy, spread
 
@@ -55,7 +57,23 @@ class BytePairs:
 
     def __init__(self, path: str = VOCABULARY) -> None:
         self.path = path
-        self._ranks = F.from_json(F.lit(_rank_json(path)), "array<map<string,int>>")
+
+    @staticmethod
+    def _literal(text: str, kind: str) -> Column:
+        """A constant read from JSON. In one block of bytes where the session lets its plan be reached: tasks then receive it as that and not as a hundred thousand objects."""
+        spark = SparkSession.active()
+        value = F.from_json(F.lit(text), kind)
+        try:
+            frame = spark.range(1).select(value)._jdf
+            block = frame.queryExecution().executedPlan().executeCollect()[0].copy().getArray(0)
+            jvm = spark._jvm.org.apache.spark.sql
+            return ClassicColumn(jvm.classic.ExpressionUtils.column(jvm.catalyst.expressions.Literal(block, frame.schema().apply(0).dataType())))
+        except (AttributeError, TypeError, Py4JError):
+            return value
+
+    @property
+    def _ranks(self) -> Column:
+        return self._literal(_rank_json(self.path), "array<map<string,int>>")
 
     @staticmethod
     def _rank(ranks: Column, piece: Column) -> Column:
@@ -130,6 +148,6 @@ class BytePairs:
 
     def decode(self, ids: Column) -> Column:
         """The text of an array of ids; null ids and ids outside the vocabulary add nothing."""
-        pieces = F.from_json(F.lit(_piece_json(self.path)), "array<string>")
+        pieces = self._literal(_piece_json(self.path), "array<string>")
         joined = bound(pieces, lambda p: F.array_join(F.transform(ids, lambda i: F.get(p, i)), ""))
         return F.decode(F.encode(joined, "ISO-8859-1"), "UTF-8")
