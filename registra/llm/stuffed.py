@@ -77,12 +77,12 @@ def phrases_elsewhere(pages: DataFrame, host: str, size: int = 5) -> DataFrame:
     Distinct hosts are counted per phrase over all pages (null is a host of its own). Phrases of one host
     are dropped before the way back. A phrase on more than one page in a hundred thousand occurrences is
     hot; there can be at most that many hot ones, so they are broadcast, and no other phrase can crowd a
-    partition of the join. Texts with fewer words have no phrase and no row.
+    partition of the join. Equal texts of a host count once. Texts with fewer words have no phrase and no row.
     """
-    found = pages.filter(F.size("_words") >= size).select(
-        "_own", F.coalesce(F.xxhash64(F.col(host)), F.lit(0)).alias("_host"),
-        F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("_words") - (size - 1)), lambda i: F.xxhash64(F.slice("_words", i, size))))).alias("_phrase"),
-    )
+    phrases = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("_words") - (size - 1)), lambda i: F.xxhash64(F.slice("_words", i, size))))
+    texts = pages.filter(F.size("_words") >= size).select("_own", F.coalesce(F.xxhash64(F.col(host)), F.lit(0)).alias("_host"), "_words")
+    once = texts.groupBy("_own", "_host").agg(F.first("_words").alias("_words"))
+    found = once.select("_own", "_host", F.explode(phrases).alias("_phrase"))
     hosts = found.groupBy("_phrase", "_host").agg(F.count(F.lit(1)).alias("_n")).groupBy("_phrase").agg(F.count(F.lit(1)).alias("_hosts"), F.sum("_n").alias("_n"))
     shared = cut(hosts.filter("_hosts > 1").select("_phrase", "_n"))
     total = shared.agg(F.sum("_n")).first()[0] or 0
