@@ -19,6 +19,7 @@ from registra.sources import files
 from registra.sources.portal import Portal, PortalError, as_text, decode_year, encode_year
 
 log = logging.getLogger("registra")
+MOST_STATES = 200
 
 
 def parser() -> argparse.ArgumentParser:
@@ -122,7 +123,10 @@ def run_model(spark, args) -> int:
             return 1
     areas = tables["dim_neighbourhood"].withColumnRenamed("area_key", "neighbourhood_sk")
     kinds = dims.dim_members(df, ["business_type", "business_subtype"], "category_sk")
-    statuses = sorted(r.status for r in df.filter("status is not null").select("status").distinct().limit(1000).collect())
+    statuses = sorted(r.status for r in df.filter("status is not null").select("status").distinct().limit(MOST_STATES + 1).collect())
+    if len(statuses) > MOST_STATES:
+        log.error("more than %d statuses, too many for columns", MOST_STATES)
+        return 1
     first = None if args.all_spans else df.agg(F.min("folder_year")).first()[0]
     tables |= {
         "dim_category": kinds, "mart_neighbourhood_activity": marts.activity_by_area(fact, areas, statuses, [s for s in statuses if s in args.ended], args.start, args.end or datetime.now(UTC).strftime("%Y-%m-%d")),

@@ -30,7 +30,8 @@ def snapshot_changes(df: DataFrame, group: str, at: str, key: str, compared: lis
 
     A load is one value of ``at`` (the later load's is returned). A key's content is the set of its
     distinct rows over ``compared`` (null equals null, repeated rows count once). Rows without group,
-    load or key are left out. The first load of a group gives no rows.
+    load or key are left out, but a load of which all rows lack a key is still a load (without keys).
+    The first load of a group gives no rows.
 
     Repeated rows collapse before any key is gathered, and the set's digest is a commutative aggregate
     (count and exclusive ors of two hashes), so a key with very many rows is combined map-side. Loads
@@ -45,7 +46,7 @@ def snapshot_changes(df: DataFrame, group: str, at: str, key: str, compared: lis
         .groupBy("_g", "_key", "_at")
         .agg(F.count(F.lit(1)).alias("_c"), F.bit_xor("_h1").alias("_x1"), F.bit_xor("_h2").alias("_x2"))
     )
-    loads = number_loads(rows.select(group, at), group, at)
+    loads = number_loads(df.select(group, at), group, at)
     numbered = content.join(loads, ["_g", "_at"])
     digest = F.struct("_c", "_x1", "_x2")
     now = numbered.select("_g", "_key", "_n", digest.alias("_now"))

@@ -50,10 +50,10 @@ union all select business_sk, 'gap', {_YMD.format("e + 1")}, {_YMD.format("nxt -
 _COMPARED = [c for c in RECORD_COLUMNS if c not in ("licencersn", "extractdate")]
 CHANGES = f"""with {DELIVERED},
 c as (select g, dt, k, list_sort(list(distinct r)) as rs from (select g, dt, k, {{{", ".join(f"'{c}': {c}" for c in _COMPARED)}}}::varchar as r from d where g is not null and dt is not null and k is not null) group by all),
-num as (select c.*, n from c join (select g, dt, row_number() over (partition by g order by dt) as n from (select distinct g, dt from c)) l using (g, dt))
+num as (select c.*, n from c join loads using (g, dt))
 select coalesce(a.g, b.g) as folder_year, coalesce(a.k, b.k) as licence_rsn, strftime(l.dt, '%Y-%m-%d') as extract_day,
   case when b.k is null then 'added' when a.k is null then 'removed' else 'changed' end as change
-from num a full join num b on a.g = b.g and a.k = b.k and a.n = b.n + 1 join (select distinct g, n, dt from num) l on l.g = coalesce(a.g, b.g) and l.n = coalesce(a.n, b.n + 1)
+from num a full join num b on a.g = b.g and a.k = b.k and a.n = b.n + 1 join loads l on l.g = coalesce(a.g, b.g) and l.n = coalesce(a.n, b.n + 1)
 where l.n > 1 and a.rs is distinct from b.rs"""
 
 

@@ -13,8 +13,10 @@ SCHEMA = "g bigint, at int, k bigint, a string, b string, _key string, value str
 def brute(data):
     loads = {}
     for g, at, k, a, b, *_ in data:
-        if None not in (g, at, k):
-            loads.setdefault(g, {}).setdefault(at, {}).setdefault(k, set()).add((a, b))
+        if None not in (g, at):
+            keys = loads.setdefault(g, {}).setdefault(at, {})
+            if k is not None:
+                keys.setdefault(k, set()).add((a, b))
     out = []
     for g, byday in loads.items():
         order = sorted(byday)
@@ -33,6 +35,11 @@ def test_random_against_sets(spark, rows):
     assert rows(snapshot_changes(spark.createDataFrame([], SCHEMA), "g", "at", "k", ["a", "b"])) == []
 
 
+def test_a_load_without_keys_is_a_load(spark, rows):
+    data = [(1, 1, 5, "x", "", "", ""), (1, 2, None, "x", "", "", ""), (1, 3, 5, "x", "", "", "")]
+    assert rows(snapshot_changes(spark.createDataFrame(data, SCHEMA), "g", "at", "k", ["a", "b"])) == [(1, 2, 5, "removed"), (1, 3, 5, "added")]
+
+
 def test_null_and_neighbouring_values_differ(spark, rows):
     data = [(1, 1, 1, None, "x", "", ""), (1, 2, 1, "x", None, "", ""), (1, 1, 2, "", None, "", ""), (1, 2, 2, None, None, "", ""), (1, 1, 3, "a", "b", "", ""), (1, 2, 3, "a", "b", "", ""), (1, 2, 3, "a", "b", "", "")]
     assert rows(snapshot_changes(spark.createDataFrame(data, SCHEMA), "g", "at", "k", ["a", "b"])) == [(1, 2, 1, "changed"), (1, 2, 2, "changed")]
