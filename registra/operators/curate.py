@@ -9,11 +9,12 @@ from registra.functions import dates as D
 from registra.operators.casting import curated_columns
 from registra.operators.quality import day_window, flag, flag_checks, locate, null_count, one_per_key, standardise
 from registra.schema import Rules
+from registra.session import busy
 
 
 def checked(raw: DataFrame, rules: Rules, now: str, row_id: str = "record_no") -> DataFrame:
     """Raw rows renamed, cast, standardised, located and flagged; ``row_id`` stays beside them."""
-    typed = curated_columns(raw, also=("geom", "geo_point_2d", row_id))
+    typed = curated_columns(busy(raw), also=("geom", "geo_point_2d", row_id))
     return flag(locate(standardise(typed, rules)), flag_checks(rules, now))
 
 

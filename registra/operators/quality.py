@@ -75,9 +75,9 @@ def one_per_key(df: DataFrame, key: str, order: list[Column], row_id: str) -> tu
     known = df.filter(F.col(key).isNotNull())
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], (-F.col(row_id)).alias("r"))
     of, won = free(df, "_key"), free(df, "_best")
+    kept = known.groupBy(F.col(key).alias(of)).agg(F.max_by(F.struct(*known.columns), rank).alias(won)).select(f"{won}.*")
     best = known.groupBy(F.col(key).alias(of)).agg(F.max_by(F.col(row_id), rank).alias(won))
     judged = known.join(best, F.col(key) == F.col(of)).drop(of)
-    kept = judged.filter(F.col(row_id) == F.col(won)).drop(won)
     lost = judged.filter(F.col(row_id) != F.col(won)).drop(won).withColumn("dq_reject_reason", F.lit(f"duplicate_{key}_lost_tiebreak"))
     return kept, df.filter(F.col(key).isNull()).withColumn("dq_reject_reason", F.lit(f"null_{key}")).unionByName(lost)
 
