@@ -18,7 +18,6 @@ from registra.plans.register_sql import DECIMAL, ISO, RECORD_COLUMNS, missing, w
 from registra.session import table
 
 NAMES = ["business_name", "business_trade_name"]
-MERGED = ["licencenumber", "businessname", "businesstradename", "status", "issueddate", "expireddate", "businesstype", "businesssubtype", "house", "street", "city", "postalcode", "localarea", "numberofemployees", "feepaid"]
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,20 +59,22 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return picked.filter("n > 1").select(F.col(LICENCE).alias("licence_rsn"), "record_no")
 
 
-def _judged(spark: SparkSession, folder: str) -> DataFrame:
+def _judged(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
+    """The judged values of every column as delivered beside the key, and those columns."""
     rows = delivered(spark, folder)
+    columns = delivered_columns(rows, "licencersn")
     load = F.when(F.col(YEAR).isNotNull() & F.col(DAY).isNotNull(), F.concat_ws("/", F.col(YEAR).cast("string"), D.iso_day(F.col(DAY))))
-    return judged_values(rows.withColumn("__load", load), LICENCE, "__load", MERGED)
+    return judged_values(rows.withColumn("__load", load), LICENCE, "__load", columns), columns
 
 
 def p6_values(spark: SparkSession, folder: str) -> DataFrame:
     """Every value of every licence judged true, with its probability."""
-    return _judged(spark, folder).filter("_p >= 0.5").select(F.col("_key").alias("licence_rsn"), F.col("_field").alias("column_name"), F.col("_value").alias("value"), F.col("_sources").alias("loads"), F.round("_p", 4).alias("probability"))
+    return _judged(spark, folder)[0].filter("_p >= 0.5").select(F.col("_key").alias("licence_rsn"), F.col("_field").alias("column_name"), F.col("_value").alias("value"), F.col("_sources").alias("loads"), F.round("_p", 4).alias("probability"))
 
 
 def p6_merged(spark: SparkSession, folder: str) -> DataFrame:
     """One merged record per licence: the values judged true, field by field."""
-    return merged_records(_judged(spark, folder), MERGED).withColumnRenamed("_key", "licence_rsn")
+    return merged_records(*_judged(spark, folder)).withColumnRenamed("_key", "licence_rsn")
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:

@@ -59,3 +59,10 @@ def test_awkward_and_empty(spark, awkward, tmp_path, name):
     for t in TABLES:
         spark.read.parquet(f"{FOLDER}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert QUERIES[name](spark, str(tmp_path)).count() == 0
+
+
+def test_every_field_is_merged(spark):
+    """Each column of the records but the key; revisions, never merged before, have values."""
+    merged = QUERIES["p6_merged"](spark, FOLDER)
+    assert set(merged.columns) == {"licence_rsn"} | set(spark.read.parquet(f"{FOLDER}/records.parquet").columns) - {"record_no", "licencersn"}
+    assert merged.filter("size(licencerevisionnumber) > 0").count() > 0
