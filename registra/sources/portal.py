@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from registra.schema import RAW
 
 RETRIED = frozenset({429, 500, 502, 503, 504})
+PAGE = 100  # groups asked for at once; a shorter answer is the last
 
 
 class PortalError(RuntimeError):
@@ -79,8 +80,14 @@ class Portal:
 
     def discover(self, first_year: int | None = None) -> list[tuple[str, int]]:
         """Partition labels and their row counts, in order, from ``first_year`` on."""
-        answer = json.loads(self.get(self._url("/records", select=f"{self.partition}, count(*) as n", group_by=self.partition, order_by=self.partition, limit=100)))
-        found = [(str(r[self.partition]), int(r["n"])) for r in answer.get("results", []) if r.get(self.partition) is not None]
+        rows: list[dict] = []
+        while True:
+            query = {"select": f"{self.partition}, count(*) as n", "group_by": self.partition, "order_by": self.partition, "limit": PAGE, "offset": len(rows)}
+            page = json.loads(self.get(self._url("/records", **query))).get("results", [])
+            rows += page
+            if len(page) < PAGE:
+                break
+        found = [(str(r[self.partition]), int(r["n"])) for r in rows if r.get(self.partition) is not None]
         return [f for f in found if first_year is None or decode_year(f[0]) >= first_year]
 
     def probe(self, label: str) -> tuple[int, str | None]:

@@ -101,6 +101,19 @@ def test_portal(spark, portal):
     assert json.loads(df.filter("folderyear = '24'").first()["geo_point_2d"])["lat"] == 49.2
 
 
+def test_discover_reads_every_page():
+    groups = [{"folderyear": f"{n}", "n": 1} for n in range(1000, 1250)]
+
+    def get(url):
+        q = dict(parse.parse_qsl(parse.urlsplit(url).query))
+        at = int(q.get("offset", 0))
+        return json.dumps({"results": groups[at : at + int(q["limit"])]}).encode()
+
+    for n in (250, 200, 0):
+        del groups[n:]
+        assert Portal("http://x", "licences", get=get).discover() == [(g["folderyear"], 1) for g in groups]
+
+
 def test_command_line(spark, portal, tmp_path):
     base, data, _ = portal
     raw, curated, model = (str(tmp_path / x) for x in ("raw", "curated", "model"))
