@@ -1,19 +1,26 @@
-"""Column profiles of loads from value counts that are kept up by signed deltas."""
+"""Column profiles of loads from persistent value counts that are kept up by signed deltas."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from registra.functions import dates as D
 from registra.functions import text as T
 from registra.operators.snapshots import number_loads
+from registra.session import cut, remove, shared_folder
+
+COUNTS = "_g bigint, column_name string, value string, n bigint"
 
 
 @dataclass(frozen=True)
 class ProfileRules:
-    """What counts as a break; shares and ratios are exceeded, not reached."""
+    """What counts as a break; shares and ratios are exceeded, not reached. Columns of numbers and of instants get typed ranges."""
 
     missing: float = 0.107
     form: float = 0.083
@@ -23,30 +30,34 @@ class ProfileRules:
     forms: dict[str, str] = field(default_factory=dict)
     level_columns: tuple[str, ...] = ()
     share_columns: tuple[str, ...] = ()
+    number_columns: tuple[str, ...] = ()
+    instant_columns: tuple[str, ...] = ()
 
 
 def value_counts(df: DataFrame, group: str, at: str, columns: list[str]) -> DataFrame:
-    """``_g``, ``_at``, ``column_name``, ``value``, ``n``: how often a load holds each value, missing ones as null.
+    """``_g``, ``_at``, ``column_name``, ``value``, ``n``: how often a load holds each value as delivered, null included.
 
-    Rows without group or load are left out. Counting starts map-side, so a value that fills a third
-    of all rows travels as one row per task.
+    Rows without group or load are left out. Counting starts map-side on the values as they are, so a
+    value that fills a third of all rows travels as one row per task, and nothing is worked out per cell.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.when(~T.is_missing(F.col(c)), F.col(c)).alias("value")) for c in columns])
-    cells = df.filter(F.col(group).isNotNull() & F.col(at).isNotNull()).select(F.col(group).alias("_g"), F.col(at).alias("_at"), F.inline(pairs))
-    return cells.groupBy("_g", "_at", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    cells = df.filter(F.col(group).isNotNull() & F.col(at).isNotNull()).select(
+        F.col(group).cast("bigint").alias("_g"), F.col(at).alias("_at"), F.posexplode(F.array(*[F.col(c) for c in columns])).alias("_c", "value")
+    )
+    counted = cells.groupBy("_g", "_at", "_c", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("_g", "_at", F.get(F.array(*map(F.lit, columns)), F.col("_c")).alias("column_name"), "value", "n")
 
 
-def signed_deltas(counts: DataFrame, loads: DataFrame) -> DataFrame:
-    """What each load adds to and takes from its group's value counts: ``_g``, ``_n``, ``column_name``, ``value``, ``delta``, ``count``.
+def signed_deltas(state: DataFrame, counts: DataFrame) -> DataFrame:
+    """What a full load adds to and takes from the stored counts of its groups: ``_g``, ``column_name``, ``value``, ``before``, ``delta``.
 
-    A load's counts enter as plus at its own number and as minus at the next one, so one aggregate gives
-    the signed delta and the maintained count after it; a value whose count falls to zero stays with
-    count 0 in the load that dropped it.
+    Both sides have ``_g``, ``column_name``, ``value``, ``n``. Values whose count stays come with delta 0.
+    Groups that the load does not bring are left out and so stay as stored.
     """
-    numbered = counts.join(loads.withColumn("_last", F.max("_n").over(Window.partitionBy("_g"))), ["_g", "_at"])
-    sides = F.array(F.struct(F.col("_n"), F.col("n").alias("plus"), F.lit(0).cast("bigint").alias("minus")), F.struct((F.col("_n") + 1).alias("_n"), F.lit(0).cast("bigint").alias("plus"), F.col("n").alias("minus")))
-    events = numbered.select("_g", "column_name", "value", "_last", F.inline(sides)).filter("_n <= _last")
-    return events.groupBy("_g", "_n", "column_name", "value").agg((F.sum("plus") - F.sum("minus")).alias("delta"), F.sum("plus").alias("count"))
+    zero = F.lit(0).cast("bigint")
+    groups = F.broadcast(cut(counts.select("_g").distinct()))  # one row per group of the load
+    old = state.join(groups, "_g", "left_semi").select("_g", "column_name", "value", F.col("n").alias("_b"), zero.alias("_a"))
+    new = counts.select("_g", "column_name", "value", zero.alias("_b"), F.col("n").alias("_a"))
+    return old.unionByName(new).groupBy("_g", "column_name", "value").agg(F.sum("_b").alias("before"), (F.sum("_a") - F.sum("_b")).alias("delta"))
 
 
 def maintain(state: DataFrame, delta: DataFrame) -> DataFrame:
@@ -56,25 +67,63 @@ def maintain(state: DataFrame, delta: DataFrame) -> DataFrame:
 
 
 class ValueCountStore:
-    """Value counts kept in a folder, one version per load; ``apply`` adds a load's signed deltas.
+    """Value counts per column kept in a shared folder, one version per load number.
 
-    A version is written whole before the next one is read from it, so a failed apply leaves the last
-    version intact.
+    ``add`` takes the value counts of one load, reads the last version only, and writes the next one: the
+    count before, the signed delta and the maintained count of every value. A version is written whole
+    before anything reads it, so a failed call leaves the last version intact and can be repeated.
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def at(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/version={version}")
+    def _path(self, version: int) -> str:
+        return f"{self.folder}/version={version}"
+
+    def changes(self, version: int) -> DataFrame:
+        """``_g``, ``column_name``, ``value``, ``before``, ``delta``, ``n`` of the groups that version brought."""
+        return self.spark.read.parquet(self._path(version))
+
+    def state(self, version: int) -> DataFrame:
+        """The maintained counts of that version; none before the first."""
+        if version < 1:
+            return self.spark.createDataFrame([], COUNTS)
+        return self.changes(version).filter("n > 0").select("_g", "column_name", "value", "n")
+
+    def add(self, version: int, counts: DataFrame) -> DataFrame:
+        """Apply a load's signed deltas to the version before and return the changes."""
+        deltas = signed_deltas(self.state(version - 1), counts)
+        deltas.withColumn("n", F.col("before") + F.col("delta")).write.mode("overwrite").parquet(self._path(version))
+        return self.changes(version)
+
+    def forget(self, version: int) -> None:
+        """Drop a version that later ones have replaced."""
+        remove(self.spark, self._path(version))
 
-    def begin(self, counts: DataFrame) -> DataFrame:
-        counts.select("_g", "column_name", "value", "n").write.mode("overwrite").parquet(f"{self.folder}/version=0")
-        return self.at(0)
 
-    def apply(self, version: int, delta: DataFrame) -> DataFrame:
-        maintain(self.at(version), delta).write.mode("overwrite").parquet(f"{self.folder}/version={version + 1}")
-        return self.at(version + 1)
+def replay(df: DataFrame, group: str, at: str, columns: list[str], summary: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Bring every load of ``df`` into a store, in order, and take ``summary`` of the changes of each (with ``_n``).
+
+    Returns the loads and the summaries of all of them. ``df`` is read once, for its value counts, which
+    are written sorted by load, so that each step reads one load's counts and one stored version. Step n
+    takes load n of every group; a version is dropped when the next one stands. ``summary`` must give a few
+    rows per group and column: they are kept and all that remains.
+    """
+    spark = df.sparkSession
+    home = f"{shared_folder(spark)}/value-counts-{uuid.uuid4().hex}"
+    value_counts(df, group, at, columns).sortWithinPartitions("_g", "_at").write.parquet(f"{home}/delivered")
+    delivered = spark.read.parquet(f"{home}/delivered")
+    loads = number_loads(delivered, "_g", "_at")
+    most = loads.agg(F.max("_n")).first()[0] or 0
+    store = ValueCountStore(spark, f"{home}/kept")
+    kept = []
+    for n in range(1, most + 1):
+        own = F.broadcast(cut(loads.filter(F.col("_n") == n).select("_g", "_at")))  # one row per group
+        kept.append(cut(summary(store.add(n, delivered.join(own, ["_g", "_at"]).drop("_at")).withColumn("_n", F.lit(n)))))
+        store.forget(n - 1)
+    out = reduce(DataFrame.unionByName, kept) if kept else cut(summary(store.state(0).selectExpr("*", "n as before", "n as delta", "1 as _n")))
+    remove(spark, home)
+    return loads, out
 
 
 def _lacks_form(forms: dict[str, str]) -> Column:
@@ -85,45 +134,57 @@ def _lacks_form(forms: dict[str, str]) -> Column:
     return out
 
 
-def _state(count: Column, rules: ProfileRules) -> dict[str, Column]:
-    """Aggregates over the value counts of one column in one load."""
-    known = F.col("value").isNotNull() & (count > 0)
-    number = F.when(F.col("column_name").isin(*rules.level_columns) if rules.level_columns else F.lit(False), T.number(F.col("value")))
+def _within(columns: tuple[str, ...]) -> Column:
+    return F.col("column_name").isin(*columns) if columns else F.lit(False)
+
+
+def _totals(count: Column, rules: ProfileRules) -> dict[str, Column]:
+    """Aggregates over the value counts of one column at one time."""
+    known = ~F.col("_missing") & (count > 0)
+    level = F.when(_within(rules.level_columns), F.col("_number"))
     return {
         "rows": F.sum(count),
-        "missing": F.sum(F.when(F.col("value").isNull(), count).otherwise(F.lit(0))),
+        "missing": F.sum(F.when(F.col("_missing"), count).otherwise(F.lit(0))),
         "distinct": F.count_if(known),
-        "numbers": F.sum(F.when(number.isNotNull(), count).otherwise(F.lit(0))),
-        "total": F.sum(number * count),
-        "least": F.min(F.when(count > 0, F.col("value"))),
-        "most": F.max(F.when(count > 0, F.col("value"))),
-        "logs": F.sum(F.when(known, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))),
+        "numbers": F.sum(F.when(level.isNotNull(), count).otherwise(F.lit(0))),
+        "total": F.sum(level * count),
     }
 
 
-def load_profiles(deltas: DataFrame, rules: ProfileRules) -> DataFrame:
-    """Exact metrics of each column in each load, with those of the load before it (``b_`` columns).
+def load_profiles(changes: DataFrame, rules: ProfileRules) -> DataFrame:
+    """Exact metrics of each column in a load, with those of the load before it (``b_`` columns): a row per ``_g``, ``_n``, ``column_name``.
 
-    Per column and load: rows, missing, distinct values, number sums, least and greatest value, values
-    lacking the form, entropy (bits) and the largest change of a value's share. Every figure comes from
-    the maintained counts (``count`` after the load, ``count - delta`` before it).
+    Per column: rows, missing, distinct values, number sums, least and greatest value (by number or instant
+    where the column holds them, else by text), values lacking the form, entropy (bits) and the largest
+    change of a value's share. Every figure comes from the maintained counts (``n``, and ``before``).
     """
-    before = F.col("count") - F.col("delta")
-    now, old = _state(F.col("count"), rules), _state(before, rules)
-    lacking = _lacks_form(rules.forms)
-    sums = deltas.groupBy("_g", "_n", "column_name").agg(
+    typed = changes.withColumns(
+        {
+            "_missing": T.is_missing(F.col("value")),
+            "_number": F.when(~T.is_missing(F.col("value")) & _within((*rules.number_columns, *rules.level_columns)), T.number(F.col("value"))),
+            "_instant": F.when(_within(rules.instant_columns), F.unix_micros(D.iso_instant(F.col("value")))),
+        }
+    )
+    n, known = F.col("n"), ~F.col("_missing") & (F.col("n") > 0)
+    text = F.when(known & ~_within((*rules.number_columns, *rules.instant_columns)), F.col("value"))
+    now, old = _totals(n, rules), _totals(F.col("before"), rules)
+    sums = typed.groupBy("_g", "_n", "column_name").agg(
         *[v.alias(k) for k, v in now.items()],
         *[v.alias(f"b_{k}") for k, v in old.items()],
-        F.sum(F.when(lacking, F.col("count")).otherwise(F.lit(0))).alias("lacking"),
+        F.sum(F.when(known, n * F.log2(n.cast("double"))).otherwise(F.lit(0.0))).alias("logs"),
+        F.min(text).alias("least"),
+        F.max(text).alias("most"),
+        *[f(F.when((n > 0) & _within(rules.number_columns), F.col("_number"))).alias(a) for f, a in ((F.min, "least_number"), (F.max, "greatest_number"))],
+        *[f(F.when(known, F.col("_instant"))).alias(a) for f, a in ((F.min, "first_instant"), (F.max, "last_instant"))],
+        F.sum(F.when(known & _lacks_form(rules.forms), n).otherwise(F.lit(0))).alias("lacking"),
     )
     values = F.col("rows") - F.col("missing")
-    entropy = F.when(values > 0, F.log2(values.cast("double")) - F.col("logs") / values)
-    sums = sums.withColumn("entropy", entropy)
+    sums = sums.withColumn("entropy", F.when(values > 0, F.log2(values.cast("double")) - F.col("logs") / values))
     if not rules.share_columns:
         return sums.withColumn("share_change", F.lit(None).cast("double"))
-    kept = deltas.filter(F.col("column_name").isin(*rules.share_columns) & F.col("value").isNotNull())
-    bases = sums.filter(F.col("column_name").isin(*rules.share_columns)).select("_g", "_n", "column_name", values.alias("_v"), (F.col("b_rows") - F.col("b_missing")).alias("_bv"))
-    shift = F.abs(F.coalesce(F.try_divide(F.col("count"), F.col("_v")), F.lit(0.0)) - F.coalesce(F.try_divide(before, F.col("_bv")), F.lit(0.0)))
+    kept = typed.filter(_within(rules.share_columns) & ~F.col("_missing"))
+    bases = sums.filter(_within(rules.share_columns)).select("_g", "_n", "column_name", values.alias("_v"), (F.col("b_rows") - F.col("b_missing")).alias("_bv"))
+    shift = F.abs(F.coalesce(F.try_divide(n, F.col("_v")), F.lit(0.0)) - F.coalesce(F.try_divide(F.col("before"), F.col("_bv")), F.lit(0.0)))
     shifts = kept.join(bases, ["_g", "_n", "column_name"]).filter("_v > 0 and _bv > 0").groupBy("_g", "_n", "column_name").agg(F.max(shift).alias("share_change"))
     return sums.join(shifts, ["_g", "_n", "column_name"], "left")
 
@@ -149,14 +210,17 @@ def profile_breaks(profiles: DataFrame, rules: ProfileRules) -> DataFrame:
 
 
 def profile_loads(df: DataFrame, group: str, at: str, columns: list[str], rules: ProfileRules) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Value counts, signed deltas and profiles of every load of ``df``: loads, profiles, breaks.
+    """Loads, profiles and breaks of every load of ``df``, by bringing its loads into a store one after the other.
 
     Empty tables give empty results; repeated rows count as often as they occur.
     """
-    counts = value_counts(df, group, at, columns)
-    loads = number_loads(df.select(group, at), group, at)
-    profiles = load_profiles(signed_deltas(counts, loads), rules)
+    loads, profiles = replay(df, group, at, columns, lambda changes: load_profiles(changes, rules))
     return loads, profiles, profile_breaks(profiles, rules)
 
 
-__all__ = ["ProfileRules", "ValueCountStore", "load_profiles", "maintain", "profile_breaks", "profile_loads", "signed_deltas", "value_counts"]
+def delta_counts(changes: DataFrame) -> DataFrame:
+    """Values gained, values lost and the sum of the signed deltas of each column in a load."""
+    known = ~T.is_missing(F.col("value"))
+    return changes.groupBy("_g", "_n", "column_name").agg(
+        F.count_if(known & (F.col("before") == 0) & (F.col("n") > 0)).alias("values_gained"), F.count_if(known & (F.col("n") == 0)).alias("values_lost"), F.sum("delta").alias("net_rows")
+    )

@@ -9,16 +9,20 @@ from registra.functions import dates as D
 from registra.functions import text as T
 from registra.operators.history import OPEN_END, attribute_versions, latest_per_day
 from registra.operators.intervals import periods_and_gaps
-from registra.operators.profile import ProfileRules, profile_loads
+from registra.operators.profile import ProfileRules, delta_counts, profile_loads, replay
 from registra.operators.snapshots import snapshot_changes
 from registra.session import table
 
 TRACKED = ["business_name", "status", "address_sk", "category_sk"]
 
+NUMBERS = ("licencersn", "licencerevisionnumber", "folderyear", "numberofemployees", "feepaid")
+INSTANTS = ("issueddate", "expireddate", "extractdate")
 RECORD_RULES = ProfileRules(
+    number_columns=NUMBERS,
+    instant_columns=INSTANTS,
     forms={
-        **dict.fromkeys(("licencersn", "licencerevisionnumber", "folderyear", "numberofemployees", "feepaid"), T.DECIMAL_SHAPE),
-        **dict.fromkeys(("issueddate", "expireddate", "extractdate"), r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2}))?$"),
+        **dict.fromkeys(NUMBERS, T.DECIMAL_SHAPE),
+        **dict.fromkeys(INSTANTS, r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2}))?$"),
         "licencenumber": r"^\d{2}-\d{6,}$",
         "postalcode": T.POSTAL_SHAPE,
     },
@@ -100,30 +104,15 @@ def p7_profile(spark: SparkSession, folder: str) -> DataFrame:
     return profiles.filter("rows > 0").join(loads, ["_g", "_n"]).select(
         F.col("_g").alias("folder_year"), D.iso_day(F.col("_at")).alias("extract_day"), "column_name", F.col("rows").alias("row_count"),
         F.col("missing").alias("missing_count"), F.col("distinct").alias("distinct_count"), F.col("least").alias("least_value"), F.col("most").alias("greatest_value"),
-        F.col("lacking").alias("without_form"), T.rounded(F.col("entropy"), 6).alias("entropy_bits"),
+        "least_number", "greatest_number", "first_instant", "last_instant", F.col("lacking").alias("without_form"), T.rounded(F.col("entropy"), 6).alias("entropy_bits"),
     )
 
 
 def p7_deltas(spark: SparkSession, folder: str) -> DataFrame:
-    """Per column and load: values gained, values lost, and the sum of the signed deltas."""
-    from registra.operators.profile import signed_deltas, value_counts
-    from registra.operators.snapshots import number_loads
-
+    """Per column and load: values gained, values lost, and the sum of the signed deltas; a group's first load gains all it has."""
     rows = delivered(spark, folder)
-    columns = delivered_columns(rows)
-    loads = number_loads(rows.select(YEAR, DAY), YEAR, DAY)
-    deltas = signed_deltas(value_counts(rows, YEAR, DAY, columns), loads)
-    known = F.col("value").isNotNull()
-    return (
-        deltas.groupBy("_g", "_n", "column_name")
-        .agg(
-            F.count_if(known & (F.col("delta") == F.col("count")) & (F.col("count") > 0)).alias("values_gained"),
-            F.count_if(known & (F.col("count") == 0)).alias("values_lost"),
-            F.sum("delta").alias("net_rows"),
-        )
-        .join(loads, ["_g", "_n"])
-        .select(F.col("_g").alias("folder_year"), D.iso_day(F.col("_at")).alias("extract_day"), "column_name", "values_gained", "values_lost", "net_rows")
-    )
+    loads, changes = replay(rows, YEAR, DAY, delivered_columns(rows), delta_counts)
+    return changes.join(loads, ["_g", "_n"]).select(F.col("_g").alias("folder_year"), D.iso_day(F.col("_at")).alias("extract_day"), "column_name", "values_gained", "values_lost", "net_rows")
 
 
 QUERIES = {"p1_found": p1_found, "p1_versions": p1_versions, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p7_profile": p7_profile, "p7_deltas": p7_deltas}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from registra.functions import text as T
-from registra.plans.register import RECORD_RULES
+from registra.plans.register import INSTANTS, NUMBERS, RECORD_RULES
 
 _DAY = "cast(({} at time zone 'UTC') as date)"
 _YMD = "cast(strftime({}, '%Y%m%d') as bigint)"
@@ -62,10 +62,15 @@ def _form(c: str) -> str:
     return "null::boolean" if p is None else f"not regexp_matches(v, '{p.replace('(?U)', '')}')"
 
 
+_NUMBERS, _INSTANTS = (", ".join(f"'{c}'" for c in names) for names in (NUMBERS, INSTANTS))
+_TYPED = f"{_NUMBERS}, {_INSTANTS}"
 CELLS = f"""with {DELIVERED},
 cells as ({" union all ".join(f"select g, dt, '{c}' as column_name, case when not {missing(c)} then {c} end as v from d where g is not null and dt is not null" for c in RECORD_COLUMNS)}),
 f as (select g, dt, column_name, v, count(*) as n, case column_name {" ".join(f"when '{c}' then {_form(c)}" for c in RECORD_COLUMNS)} end as lack,
-  case when column_name in ('feepaid', 'numberofemployees') and regexp_matches(v, '{DECIMAL}') then try_cast(trim(v, ' \t\n\r') as double) end as x from cells group by all)"""
+  case when column_name in ('feepaid', 'numberofemployees') and regexp_matches(v, '{DECIMAL}') then try_cast(trim(v, ' \t\n\r') as double) end as x,
+  case when column_name in ({_NUMBERS}) and regexp_matches(v, '{DECIMAL}') then try_cast(trim(v, ' \t\n\r') as double) end as num,
+  case when column_name in ({_INSTANTS}) then case when regexp_matches(trim(v), '{ISO}') then try_cast(trim(v) as timestamptz) when regexp_matches(trim(v), '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') then try_cast(trim(v) || 'T00:00:00Z' as timestamptz) end end as inst
+  from cells group by all)"""
 
 BREAKS = f"""{CELLS},
 s as (select g, dt, column_name, cast(sum(n) as double) as rs, cast(sum(n) filter (v is null) as double) as ms, count(v) as ds, cast(sum(n) filter (lack) as double) as lk,
@@ -86,7 +91,8 @@ select cast(g as bigint) as folder_year, strftime(dt, '%Y-%m-%d') as extract_day
 
 PROFILE = f"""{CELLS}
 select cast(g as bigint) as folder_year, strftime(dt, '%Y-%m-%d') as extract_day, column_name, cast(sum(n) as bigint) as row_count, cast(coalesce(sum(n) filter (v is null), 0) as bigint) as missing_count,
-  count(v) as distinct_count, min(v) as least_value, max(v) as greatest_value, cast(coalesce(sum(n) filter (lack), 0) as bigint) as without_form,
+  count(v) as distinct_count, min(v) filter (column_name not in ({_TYPED})) as least_value, max(v) filter (column_name not in ({_TYPED})) as greatest_value,
+  min(num) as least_number, max(num) as greatest_number, epoch_us(min(inst)) as first_instant, epoch_us(max(inst)) as last_instant, cast(coalesce(sum(n) filter (lack), 0) as bigint) as without_form,
   floor((log2(sum(n) filter (v is not null)) - sum(n * log2(n)) filter (v is not null) / sum(n) filter (v is not null)) * 1000000 + 0.5) / 1000000 as entropy_bits from f group by all"""
 
 DELTAS = f"""{CELLS}, m as (select f.g, f.column_name, f.v, f.n as c, l.n, l.dt from f join loads l using (g, dt)),

@@ -24,20 +24,55 @@ def build_session(master: str = "local[*]", app: str = "registra", shuffle_parti
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``.
+
+    Only where that is unset and the session runs on one machine a temporary folder is made; on a cluster
+    an unset folder raises, as the executors' own disks would not do.
+    """
+    context = spark.sparkContext
+    known = context._jsc.sc().getCheckpointDir()
+    if known.isDefined():
+        return known.get()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="registra-")
+    context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and return it without its lineage.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset
-    (tests on one machine) a temporary one is made. The files are replicated by the file system, so
-    a lost executor loses nothing.
+    The files are replicated by the file system, so a lost executor loses nothing. ``release`` removes them.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="registra-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever file system it lies; a missing one is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete what ``cut`` wrote for ``frames``, once nothing reads them any more; other frames are left alone."""
+    for df in frames:
+        plan = df._jdf.queryExecution().logical()
+        if plan.nodeName().startswith("LogicalRDD") or "LogicalRDD" in plan.getClass().getName():
+            file = plan.rdd().getCheckpointFile()
+            if file.isDefined():
+                remove(df.sparkSession, file.get())
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` marked to meet its partner in a sort-merge join, for sides whose size no statistic tells."""
+    return df.hint("merge")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over enough partitions to keep every core busy, for few rows with much work each."""
     spark = df.sparkSession
