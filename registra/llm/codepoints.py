@@ -17,11 +17,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# Letters of other alphabets (and two phonetic ones) and the Latin letters they are read as.
+# Letters of other alphabets (and some phonetic ones) and the Latin letters they are read as; Latin small capitals
+# follow from their names.
 LOOK_ALIKES = {
     "CYRILLIC": ("АВЕКМНОРСТХЅІЈҮЗԚԜаеорсухѕіјһӏԁԛԝүҽ", "ABEKMHOPCTXSIJY3QWaeopcyxsijhldqwye"),
     "GREEK": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαινορυϲϳ", "ABEZHIKMNOPTYXaivopucj"),
-    "ARMENIAN": ("օոսԼՕՍ", "onuLOU"),
+    "ARMENIAN": ("օոսհցզյԼՕՍՏ", "onuhgqjLOUS"),
+    "COPTIC": ("ⲂⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲟⲣⲥ", "BHIKMNOPCTYXopc"),
+    "CHEROKEE": ("ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᎩᏃᎥ", "ABCDEGHJKLMPRSTVWYZi"),
+    "LISU": ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
+    "CANADIAN": ("ᑌᐯᑭᒪᗪᗷᖴᕼᒍᗅᖇ᙭", "UVPLDBFHJARX"),
     "LATIN": ("ɑɡɩ", "agi"),
 }
 # Signs that are read as plainer ones.
@@ -35,11 +40,11 @@ UNSEEN, BLANK, PLAINER, LATIN, TRUE, LOOK, LETTER = 1, 2, 4, 8, 16, 32, 64
 
 def _expansion(ch: str) -> str | None:
     """What a compatibility character stands for, if a reader takes it for that; else None."""
-    tag, _, rest = U.decomposition(ch).partition(" ")
+    tag = U.decomposition(ch).partition(" ")[0]
     if not tag:
         return None
     if not tag.startswith("<"):
-        return U.normalize("NFC", ch) if not rest and U.normalize("NFC", ch) != ch else None
+        return whole if (whole := U.normalize("NFC", ch)) != ch else None
     if tag in ("<wide>", "<narrow>", "<font>", "<small>") or (tag == "<compat>" and U.category(ch)[0] in "LN" and U.category(ch) != "No"):
         return U.normalize("NFKC", ch)
     return None
@@ -58,6 +63,8 @@ def tables() -> SimpleNamespace:
     names: dict[str, int] = {"LATIN": 1}
     pairs: dict[int, int] = {}
     alike = {a: (b, s) for s, (xs, ys) in LOOK_ALIKES.items() for a, b in zip(xs, ys, strict=True)}
+    capitals = "LATIN LETTER SMALL CAPITAL "
+    alike |= {ch: (name[-1], "LATIN") for ch in map(chr, range(0x250, 0xA800)) if (name := U.name(ch, "")).startswith(capitals) and len(name) == len(capitals) + 1}
     signs = dict(zip(*SIGN_ALIKES, strict=True))
     for cp in [*range(0x20000), *range(0xE0000, 0xE0200)]:
         ch = chr(cp)
@@ -129,31 +136,42 @@ def _strings(points: np.ndarray, row: np.ndarray, column: pa.Array) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(column), [pa.py_buffer(valid) if valid else None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)]).cast(pa.string())
 
 
+def _sorted_marks(points: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The order that puts every run of marks into canonical order."""
+    ccc = tables().ccc[points]
+    return np.lexsort((ccc, np.cumsum((ccc == 0) | (np.diff(row, prepend=-1) != 0))))
+
+
 def _compose(points: np.ndarray, row: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marks in canonical order, then joined to their bases; rows where a Latin letter took a mark become odd."""
+    """Marks in canonical order, then joined to their bases; rows where a Latin letter took a mark become odd.
+
+    A composed letter before a mark is taken apart first, as the mark may belong below its own; its own
+    marks come back without making the row odd.
+    """
     t = tables()
     if not len(points):
         return points, row
-    while True:  # a composed letter before a mark is taken apart, as the mark may belong below its own
-        apart = np.flatnonzero((t.mark[points[:-1]] > 0) & (t.ccc[points[1:]] > 0) & (row[1:] == row[:-1]) & (t.ccc[points[1:]] < t.ccc[t.mark[points[:-1]]]))
+    own = np.zeros(len(points), bool)
+    while True:
+        apart = np.flatnonzero((t.mark[points[:-1]] > 0) & (t.ccc[t.mark[points[:-1]]] > 0) & (t.ccc[points[1:]] > 0) & (row[1:] == row[:-1]))
         if not len(apart):
             break
         marked = t.mark[points[apart]]
         points = points.copy()
         points[apart] = t.base[points[apart]]
-        points, row = np.insert(points, apart + 1, marked), np.insert(row, apart + 1, row[apart])
-        points = points[np.lexsort((t.ccc[points], np.cumsum((t.ccc[points] == 0) | (np.diff(row, prepend=-1) != 0))))]
+        points, row, own = np.insert(points, apart + 1, marked), np.insert(row, apart + 1, row[apart]), np.insert(own, apart + 1, True)
     marks = t.ccc[points]
     if np.any((marks[1:] > 0) & (marks[:-1] > marks[1:])):
-        points = points[np.lexsort((marks, np.cumsum((marks == 0) | (np.diff(row, prepend=-1) != 0))))]
+        order = _sorted_marks(points, row)
+        points, own = points[order], own[order]
     while len(points) > 1:
         cls = t.ccc[points]
         here = np.arange(len(points))
         base = np.maximum.accumulate(np.where(cls == 0, here, 0))
-        prior = np.concatenate([[0], np.maximum.accumulate(np.where(cls == 0, here, 0))[:-1]])
+        prior = np.concatenate([[0], base[:-1]])
         base = np.where(cls == 0, prior, base)
-        adjacent = base == here - 1
-        open_ = adjacent | ((cls > 0) & (np.concatenate([[0], cls[:-1]]) < cls) & (np.concatenate([[0], cls[:-1]]) > 0))
+        before = np.concatenate([[0], cls[:-1]])
+        open_ = (base == here - 1) | ((cls > 0) & (before < cls) & (before > 0))
         key = points[base].astype(np.uint64) << np.uint64(21) | points.astype(np.uint64)
         spot = np.minimum(np.searchsorted(t.keys, key), len(t.keys) - 1)
         hit = np.flatnonzero((t.keys[spot] == key) & open_ & (here > 0) & (row == row[base]) & (base < here))
@@ -165,10 +183,10 @@ def _compose(points: np.ndarray, row: np.ndarray, odd: np.ndarray) -> tuple[np.n
         hit = hit[~taken]
         points = points.copy()
         points[base[hit]] = t.composed[spot[hit]]
-        odd[row[hit[(t.flags[points[base[hit]]] & LATIN) > 0]]] = True
+        odd[row[hit[((t.flags[points[base[hit]]] & LATIN) > 0) & ~own[hit]]]] = True
         keep = np.ones(len(points), bool)
         keep[hit] = False
-        points, row = points[keep], row[keep]
+        points, row, own = points[keep], row[keep], own[keep]
     return points, row
 
 
@@ -177,9 +195,9 @@ def consistent(column: pa.Array) -> tuple[pa.Array, pa.Array]:
 
     Disguised is a character that is unseen, a blank other than the common one, a form of a plainer letter,
     digit or sign, an accent apart from its Latin letter, or a look-alike letter in a word that is not truly
-    written in its alphabet. A word is that if it holds a letter with no Latin look-alike; a word of
-    look-alikes alone is so if the value has such a letter of the same alphabet elsewhere. Outer blanks go
-    and inner ones become one; neither makes a value odd.
+    written in its alphabet. A word is that if it holds no Latin letter and one with no Latin look-alike; a
+    word of look-alikes alone is so if the value has such a letter of the same alphabet elsewhere. Outer
+    blanks go and inner ones become one; neither makes a value odd.
     """
     t = tables()
     if isinstance(column, pa.ChunkedArray):
@@ -200,7 +218,7 @@ def consistent(column: pa.Array) -> tuple[pa.Array, pa.Array]:
     latin, true = (np.bincount(word[(flags & bit) > 0], minlength=n) > 0 for bit in (LATIN, TRUE))
     scripts = row * 65536 + t.script[points]
     at_home = np.isin(scripts, np.unique(scripts[(flags & TRUE) > 0]))
-    look = ((flags & LOOK) > 0) & ((t.script[points] == 1) | (~true[word] & (latin[word] | ~at_home)))
+    look = ((flags & LOOK) > 0) & ((t.script[points] == 1) | latin[word] | (~true[word] & ~at_home))
     odd[row[look]] = True
     points = np.where(look, t.look[points], points)
     points, row = _compose(points, row, odd)
