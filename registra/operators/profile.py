@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from registra.functions import dates as D
 from registra.functions import text as T
 from registra.operators.snapshots import number_loads
-from registra.session import cut, remove, shared_folder
+from registra.session import cut, remove, shared_folder, small_side
 
 COUNTS = "_g bigint, column_name string, value string, n bigint"
 
@@ -47,14 +47,15 @@ def value_counts(df: DataFrame, group: str, at: str, columns: list[str]) -> Data
     return counted.select("_g", "_at", F.get(F.array(*map(F.lit, columns)), F.col("_c")).alias("column_name"), "value", "n")
 
 
-def signed_deltas(state: DataFrame, counts: DataFrame) -> DataFrame:
+def signed_deltas(state: DataFrame, counts: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """What a full load adds to and takes from the stored counts of its groups: ``_g``, ``column_name``, ``value``, ``before``, ``delta``.
 
     Both sides have ``_g``, ``column_name``, ``value``, ``n``. Values whose count stays come with delta 0.
-    Groups that the load does not bring are left out and so stay as stored.
+    Groups that the load does not bring are left out and so stay as stored; ``groups`` (``_g``) are those
+    it brings, found in ``counts`` if not given.
     """
     zero = F.lit(0).cast("bigint")
-    groups = F.broadcast(cut(counts.select("_g").distinct()))  # one row per group of the load
+    groups = small_side(counts.select("_g").distinct() if groups is None else groups)
     old = state.join(groups, "_g", "left_semi").select("_g", "column_name", "value", F.col("n").alias("_b"), zero.alias("_a"))
     new = counts.select("_g", "column_name", "value", zero.alias("_b"), F.col("n").alias("_a"))
     return old.unionByName(new).groupBy("_g", "column_name", "value").agg(F.sum("_b").alias("before"), (F.sum("_a") - F.sum("_b")).alias("delta"))
@@ -90,9 +91,9 @@ class ValueCountStore:
             return self.spark.createDataFrame([], COUNTS)
         return self.changes(version).filter("n > 0").select("_g", "column_name", "value", "n")
 
-    def add(self, version: int, counts: DataFrame) -> DataFrame:
+    def add(self, version: int, counts: DataFrame, groups: DataFrame | None = None) -> DataFrame:
         """Apply a load's signed deltas to the version before and return the changes."""
-        deltas = signed_deltas(self.state(version - 1), counts)
+        deltas = signed_deltas(self.state(version - 1), counts, groups)
         deltas.withColumn("n", F.col("before") + F.col("delta")).write.mode("overwrite").parquet(self._path(version))
         return self.changes(version)
 
@@ -111,15 +112,18 @@ def replay(df: DataFrame, group: str, at: str, columns: list[str], summary: Call
     """
     spark = df.sparkSession
     home = f"{shared_folder(spark)}/value-counts-{uuid.uuid4().hex}"
-    value_counts(df, group, at, columns).sortWithinPartitions("_g", "_at").write.parquet(f"{home}/delivered")
+    value_counts(df, group, at, columns).sortWithinPartitions("_at", "_g").write.parquet(f"{home}/delivered")
     delivered = spark.read.parquet(f"{home}/delivered")
     loads = number_loads(delivered, "_g", "_at")
     most = loads.agg(F.max("_n")).first()[0] or 0
     store = ValueCountStore(spark, f"{home}/kept")
     kept = []
     for n in range(1, most + 1):
-        own = F.broadcast(cut(loads.filter(F.col("_n") == n).select("_g", "_at")))  # one row per group
-        kept.append(cut(summary(store.add(n, delivered.join(own, ["_g", "_at"]).drop("_at")).withColumn("_n", F.lit(n)))))
+        own = cut(loads.filter(F.col("_n") == n).select("_g", "_at"))  # one row per group
+        first, last = own.agg(F.min("_at"), F.max("_at")).first()
+        near = delivered.filter(F.col("_at").between(first, last))  # reaches the scan, which skips the pages of other loads
+        changes = store.add(n, near.join(small_side(own), ["_g", "_at"]).drop("_at"), own.select("_g"))
+        kept.append(cut(summary(changes.withColumn("_n", F.lit(n)))))
         store.forget(n - 1)
     out = reduce(DataFrame.unionByName, kept) if kept else cut(summary(store.state(0).selectExpr("*", "n as before", "n as delta", "1 as _n")))
     remove(spark, home)

@@ -88,14 +88,17 @@ def busy(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than it must to know."""
-    return df.limit(rows + 1).agg(F.count(F.lit(1))).first()[0] <= rows
+MOST_BYTES = 32_000_000
 
 
-def small_side(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """``df`` marked for broadcast if it was counted to fit, else as it is (the join then shuffles)."""
-    return F.broadcast(df) if fits(df, rows) else df
+def small_side(df: DataFrame, rows: int = 100_000, size: int = MOST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows and ``size`` bytes (as JSON), else as it is (the join then shuffles).
+
+    What was looked at is written out, so a small side is worked out once.
+    """
+    seen = cut(df.limit(rows + 1))
+    n, width = seen.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct(*df.columns))).cast("bigint"))).first()
+    return F.broadcast(seen) if n <= rows and (width or 0) <= size else df
 
 
 def free(df: DataFrame, name: str) -> str:
