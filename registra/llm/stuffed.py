@@ -1,105 +1,101 @@
-"""Keyword-stuffed pages, link lists and tag lists."""
+"""Keyword-stuffed pages, link lists and tag lists.
+
+Every figure is counted in one pass over the texts; only hashes of phrases travel. No list of words is used:
+a page is judged by how its own words, word pairs and phrases repeat, by how dense its links, tags, separators
+and sentence ends are, and by how many of its phrases other hosts carry. What these mean is learnt from labels.
+"""
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from registra.session import busy, cut, fits, small_side
-
-# Common function words of English, French and Spanish.
-FUNCTION_WORDS = (
-    "a about after all also an and any are as at be been before but by can could did do does down for from had has have he her here his how i if in into is it its "
-    "like may me more must my no not of on one or our out over said says she should so some than that the their them then there they this those to too two under up us "
-    "was we were what when where which who will with would you your "
-    "au aux avec ce ces cette dans de des du elle en entre est et être il ils je la le les leur mais nous on ou où par pas pour qu que qui sa sans se ses son sont sur un une vos votre vous y à été "
-    "al como con del desde el ella es esa ese esta este está fue ha han hasta las lo los muy más ni o para pero por se sin sobre su sus también una usted"
-).split()
+from registra.session import busy, cut, shuffled, small_side
 
-FEATURES = ("function_share", "link_share", "tag_share", "code_share", "variety", "top_share", "log_units", "elsewhere_share")
-# Used where no labels of both kinds are at hand: bias, then one weight per feature, on the raw features.
-DEFAULT_WEIGHTS = (3.0, -14.0, 12.0, 12.0, 6.0, -6.0, 4.0, -0.1, 0.0)
+LINK = r"(?:https?://|www\.)[^\s)\]>\"']+"
+TAG = r"#[\p{L}\p{N}_]+"
+MARKUP = r"<[^<>]*>"
+WORD = r"[\p{L}\p{N}]+"
+SENTENCE_END = r"[.!?…。！？][\"'\p{Pf}\p{Pe}]*(?:\s+[\"'\p{Pi}\p{Ps}]*[\p{Lu}\p{Lt}\p{Lo}]|\s*(?:[\n\r]|$))"
+SEPARATOR = r"(?<=[\p{L}\p{N}])\s*[\n\r|,;/•·>]"
+FEATURES = ("link_share", "tag_share", "word_variety", "pair_variety", "phrase_variety", "sentence_words", "end_share", "separator_share", "log_units", "elsewhere_share")
 
 
-def _clean(text: Column) -> Column:
-    """Links, hash tags and markup taken out."""
-    for pattern in (r"<[^<>]*>", r"(?:https?://|www\.)[^\s)\]>\"']+", r"#[\p{L}\p{N}_]+"):
-        text = F.regexp_replace(text, pattern, " ")
-    return text
+def _variety(found: Column, distinct: Column) -> Column:
+    """Distinct members per member; an empty list varies fully."""
+    return F.coalesce(F.try_divide(F.size(distinct).cast("double"), F.size(found)), F.lit(1.0))
 
 
-def page_features(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``_own`` (the text's digest), ``_words`` and the features but ``elsewhere_share``; null is an empty text.
+def page_features(df: DataFrame, text: str, size: int = 5) -> DataFrame:
+    """Adds ``_phrases`` (hashes of the distinct runs of ``size`` words) and the features but ``elsewhere_share``; null is an empty text.
 
-    Shares are of a page's units, which are its words, links and hash tags. ``code_share`` counts article
-    codes, ``variety`` is the share of distinct words among those that are no function words, ``top_share``
-    the part of the twelve most frequent of them, ``log_units`` the logarithm of the number of units.
+    Shares are of a page's units, which are its words, links and hash tags: ``link_share``, ``tag_share``,
+    ``end_share`` (ends of sentences: a stop before a capital, a caseless letter or a line end) and
+    ``separator_share`` (line ends, commas, bars and the like behind a word). ``sentence_words`` is the
+    logarithm of the words a sentence. ``word_variety``, ``pair_variety`` and ``phrase_variety`` are the share of distinct
+    ones among the page's words, neighbouring pairs and phrases. ``log_units`` is the logarithm of the units.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    words = F.regexp_extract_all(F.lower(_clean(body)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    out = df.withColumns(
+    out = df.withColumns({"_plain": F.regexp_replace(body, f"{MARKUP}|{LINK}|{TAG}", " "), "_links": F.regexp_count(body, F.lit(LINK)), "_tags": F.regexp_count(body, F.lit(TAG))})
+    out = out.withColumns(
         {
-            "_own": F.md5(body.cast("binary")),
-            "_words": words,
-            "_links": F.size(F.regexp_extract_all(body, F.lit(r"(?:https?://|www\.)[^\s)\]>\"']+"), F.lit(0))),
-            "_tags": F.size(F.regexp_extract_all(body, F.lit(r"#[\p{L}\p{N}_]+"), F.lit(0))),
-            "_codes": F.size(F.regexp_extract_all(body, F.lit(r"\b(?:SKU|REF|ART|ITEM|MPN|EAN)[-_ ]?\d{2,}|\btags?:"), F.lit(0))),
+            "_words": F.transform(F.regexp_extract_all(F.lower("_plain"), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)),
+            "_ends": F.regexp_count("_plain", F.lit(SENTENCE_END)),
+            "_separators": F.regexp_count("_plain", F.lit(SEPARATOR)),
         }
     )
-    out = out.withColumn("_content", F.array_sort(F.filter("_words", lambda w: ~w.isin(*FUNCTION_WORDS))))
-    n = F.size("_content")
-    # in sorted order a word's run ends where the next word differs; run lengths are differences of these ends
-    ends = F.filter(F.transform("_content", lambda w, i: F.when((i == n - 1) | (F.get("_content", i + 1) != w), i)), lambda i: i.isNotNull())
-    out = out.withColumn("_ends", ends)
-    runs = F.transform("_ends", lambda e, i: e - F.when(i == 0, F.lit(-1)).otherwise(F.get("_ends", i - 1)))
-    top = F.aggregate(F.slice(F.reverse(F.array_sort(runs)), 1, 12), F.lit(0), lambda a, x: a + x)
-    units = F.greatest(F.size("_words") + F.col("_links") + F.col("_tags"), F.lit(1))
+
+    def runs(n: int) -> Column:
+        at = F.sequence(F.lit(0), F.size("_words") - n)
+        hashed = F.transform(at, lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(n)]))
+        return F.when(F.size("_words") >= n, hashed).otherwise(F.array().cast("array<bigint>"))
+
+    out = out.withColumns({"_pairs": runs(2), "_runs": runs(size)}).withColumn("_phrases", F.array_distinct("_runs"))
+    units = F.greatest(F.size("_words") + F.col("_links") + F.col("_tags"), F.lit(1)).cast("double")
     return out.select(
         *df.columns,
-        "_own",
-        "_words",
-        ((F.size("_words") - n) / units).alias("function_share"),
+        "_phrases",
         (F.col("_links") / units).alias("link_share"),
         (F.col("_tags") / units).alias("tag_share"),
-        (F.col("_codes") / units).alias("code_share"),
-        F.coalesce(F.try_divide(F.size("_ends"), n), F.lit(1.0)).alias("variety"),
-        (top / units).alias("top_share"),
-        F.log1p(units.cast("double")).alias("log_units"),
+        _variety(F.col("_words"), F.array_distinct("_words")).alias("word_variety"),
+        _variety(F.col("_pairs"), F.array_distinct("_pairs")).alias("pair_variety"),
+        _variety(F.col("_runs"), F.col("_phrases")).alias("phrase_variety"),
+        F.log1p(F.size("_words") / (F.col("_ends") + 1)).alias("sentence_words"),
+        (F.col("_ends") / units).alias("end_share"),
+        (F.col("_separators") / units).alias("separator_share"),
+        F.log1p(units).alias("log_units"),
     )
 
 
-def phrases_elsewhere(pages: DataFrame, host: str, size: int = 5) -> DataFrame:
-    """``_own``, ``elsewhere_share``: the share of a text's phrases of ``size`` words that two or more hosts carry.
+def phrases_elsewhere(pages: DataFrame, host: str) -> DataFrame:
+    """``_row``, ``_shared``: how many of a page's ``_phrases`` two or more hosts carry; pages without any have no row.
 
-    Distinct hosts are counted per phrase over all pages (null is a host of its own). Phrases of one host
-    are dropped before the way back. A phrase on more than one page in a hundred thousand occurrences is
-    hot; there can be at most that many hot ones, so they are broadcast, and no other phrase can crowd a
-    partition of the join. Equal texts of a host count once. Texts with fewer words have no phrase and no row.
+    Two hosts carry a phrase if the least and the greatest host (hashed; null is a host of its own) differ,
+    one aggregate that is combined map-side, so a phrase on a third of all pages travels as one row per
+    task. A phrase on more than one in a hundred thousand of all occurrences is hot; there can be at most
+    that many hot ones, so they are broadcast, and no other phrase can crowd a partition of the join.
     """
-    phrases = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("_words") - (size - 1)), lambda i: F.xxhash64(F.slice("_words", i, size))))
-    texts = pages.filter(F.size("_words") >= size).select("_own", F.coalesce(F.xxhash64(F.col(host)), F.lit(0)).alias("_host"), "_words")
-    once = texts.groupBy("_own", "_host").agg(F.first("_words").alias("_words"))
-    found = once.select("_own", "_host", F.explode(phrases).alias("_phrase"))
-    hosts = found.groupBy("_phrase", "_host").agg(F.count(F.lit(1)).alias("_n")).groupBy("_phrase").agg(F.count(F.lit(1)).alias("_hosts"), F.sum("_n").alias("_n"))
-    shared = cut(hosts.filter("_hosts > 1").select("_phrase", "_n"))
+    found = pages.select("_row", F.coalesce(F.xxhash64(F.col(host)), F.lit(0)).alias("_host"), F.explode("_phrases").alias("_phrase"))
+    hosts = found.groupBy("_phrase").agg(F.min("_host").alias("_a"), F.max("_host").alias("_b"), F.count(F.lit(1)).alias("_n"))
+    shared = cut(hosts.filter("_a <> _b").select("_phrase", "_n"))
     total = shared.agg(F.sum("_n")).first()[0] or 0
     hot_from = max(10_000, total // 100_000)
-    hot = shared.filter(F.col("_n") >= hot_from).select("_phrase", F.lit(True).alias("_hot"))
-    rest = shared.filter(F.col("_n") < hot_from).select("_phrase", F.lit(True).alias("_rest"))
-    marked = found.select("_own", "_phrase").join(F.broadcast(hot), "_phrase", "left")
-    one = marked.filter("_hot is null").join(rest, "_phrase", "left").select("_own", F.col("_rest").isNotNull().alias("_else"))
-    both = one.unionByName(marked.filter("_hot").select("_own", F.lit(True).alias("_else")))
-    return both.groupBy("_own").agg(F.avg(F.col("_else").cast("double")).alias("elsewhere_share"))
+    hot, rest = shared.filter(F.col("_n") >= hot_from).select("_phrase", F.lit(True).alias("_hot")), shared.filter(F.col("_n") < hot_from).select("_phrase")
+    marked = found.select("_row", "_phrase").join(F.broadcast(hot), "_phrase", "left")
+    own = marked.filter("_hot").select("_row")
+    met = marked.filter("_hot is null").select("_row", "_phrase").join(shuffled(rest), "_phrase").select("_row")
+    return own.unionByName(met).groupBy("_row").agg(F.count(F.lit(1)).alias("_shared"))
 
 
 @dataclass(frozen=True)
 class PageModel:
-    """A linear score on the features; a page is stuffed where it is above 0."""
+    """A linear score on the features (bias first); a page is stuffed where it is above 0."""
 
-    weights: tuple[float, ...] = DEFAULT_WEIGHTS
+    weights: tuple[float, ...]
 
     def score(self) -> Column:
         out = F.lit(float(self.weights[0]))
@@ -108,10 +104,10 @@ class PageModel:
         return out
 
 
-def fit_pages(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.02, steps: int = 30) -> PageModel:
-    """Logistic regression by Newton steps on standardised features; the default model if a class is missing."""
+def fit_pages(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.02, steps: int = 30) -> PageModel | None:
+    """Logistic regression by Newton steps on standardised features; None if a class is missing."""
     if len(labels) == 0 or labels.min() == labels.max():
-        return PageModel()
+        return None
     mean, spread = rows.mean(0), rows.std(0)
     spread[spread == 0] = 1.0
     x = np.c_[np.ones(len(rows)), (rows - mean) / spread]
@@ -132,14 +128,19 @@ def stuffed_pages(docs: DataFrame, doc_id: str, labels: DataFrame, text: str = "
 
     The score is fitted on at most ``sample`` labelled rows (those of least id digest); features and phrase
     counts cover all documents and whole texts. Null and empty texts score as empty pages. Repeated rows
-    and null ids keep a row each. Without labels of both kinds a fixed score is used.
+    and null ids keep a row each. Without labels of both kinds there is nothing to learn from: a warning is
+    given and every score is null.
     """
     pages = page_features(busy(docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text"), F.col(host).alias("_source"))), "_text").drop("_text")
-    elsewhere = phrases_elsewhere(pages, "_source")
-    known = pages.drop("_words").join(elsewhere, "_own", "left").withColumn("elsewhere_share", F.coalesce("elsewhere_share", F.lit(0.0)))
-    known = cut(known.select("_doc", *FEATURES))
+    pages = cut(pages.withColumn("_row", F.monotonically_increasing_id()))
+    known = pages.join(shuffled(phrases_elsewhere(pages, "_source")), "_row", "left")
+    share = F.coalesce(F.try_divide(F.coalesce("_shared", F.lit(0)).cast("double"), F.size("_phrases")), F.lit(0.0))
+    known = cut(known.select("_doc", *FEATURES[:-1], share.alias("elsewhere_share")))
     judged = labels.select(F.col(doc_id).alias("_doc"), F.col(label).alias("_y")).filter("_y is not null")
-    judged = judged if fits(judged, sample) else judged.orderBy(F.xxhash64("_doc")).limit(sample)
-    train = known.join(small_side(judged), "_doc").select("_y", *FEATURES).toPandas()
+    judged = cut(judged.orderBy(F.xxhash64("_doc"), "_doc", "_y").limit(sample))
+    train = known.join(small_side(judged, sample), "_doc").select("_y", *FEATURES).toPandas()
     model = fit_pages(train[list(FEATURES)].to_numpy(float), train["_y"].to_numpy(float))
-    return known.select(F.col("_doc").alias(doc_id), *FEATURES, model.score().alias("score"))
+    if model is None:
+        warnings.warn("labels of both kinds are needed; no page is scored", stacklevel=2)
+    score = F.lit(None).cast("double") if model is None else model.score()
+    return known.select(F.col("_doc").alias(doc_id), *FEATURES, score.alias("score"))
