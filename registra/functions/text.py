@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 
 from pyspark.sql import Column
@@ -54,8 +55,8 @@ def rounded_number(c: Column) -> Column:
 
 
 def rounded(c: Column, digits: int) -> Column:
-    """Half up to so many digits in binary arithmetic, as other engines do it too."""
-    return F.floor(c * F.lit(10.0**digits) + F.lit(0.5)) / F.lit(10.0**digits)
+    """So many digits, halves to the even neighbour, in binary arithmetic."""
+    return F.rint(c * F.lit(10.0**digits)) / F.lit(10.0**digits)
 
 
 def squeeze(c: Column) -> Column:
@@ -79,28 +80,42 @@ def spaced_key(c: Column) -> Column:
     return squeeze(F.regexp_replace(F.upper(ascii_fold(c)), "[^A-Z0-9 ]", " "))
 
 
-def _folding() -> tuple[str, str]:
-    """Characters that decompose to one ASCII character and marks, and those characters; by rule, not by list."""
-    source, target = [], []
+def _folding() -> tuple[str, str, dict[str, str]]:
+    """What each character beyond ASCII keeps of its compatibility decomposition in ASCII, by rule and not by list.
+
+    Characters that keep one ASCII character, those characters, and the ones that keep several.
+    """
+    source, target, longer = [], [], {}
     for cp in range(128, 0x20000):
         if not 0xD800 <= cp < 0xE000:
             plain = "".join(c for c in unicodedata.normalize("NFKD", chr(cp)) if c.isascii())
             if len(plain) == 1:
                 source.append(chr(cp))
                 target.append(plain)
-    return "".join(source), "".join(target)
+            elif plain:
+                longer[chr(cp)] = plain
+    return "".join(source), "".join(target), longer
+
+
+FOLD_FROM, FOLD_TO, FOLD_LONGER = _folding()
 
 
-FOLD_FROM, FOLD_TO = _folding()
-# Ligatures that decompose to several letters.
-LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
+def ranges(characters: str) -> str:
+    """The inside of a character class for characters in order."""
+    runs: list[list[int]] = []
+    for c in map(ord, characters):
+        if runs and c == runs[-1][1] + 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in runs)
 
 
 def ascii_fold(c: Column) -> Column:
-    """Letters with marks, wide and styled forms and ligatures to plain letters; every other character beyond ASCII is dropped."""
-    wide = c
-    for k, v in LIGATURES.items():
-        wide = F.replace(wide, F.lit(k), F.lit(v))
+    """Letters with marks, wide and styled forms, ligatures and signs of several letters to plain ones; every other character beyond ASCII is dropped."""
+    longer = F.from_json(F.lit(json.dumps(FOLD_LONGER)), "map<string,string>")
+    spelt = F.array_join(F.transform(F.split(c, ""), lambda x: F.when(x.rlike(r"^\p{ASCII}*$"), x).otherwise(F.coalesce(longer[x], x))), "")
+    wide = F.when(c.rlike(f"[{ranges(''.join(FOLD_LONGER))}]"), spelt).otherwise(c)
     return F.when(c.rlike(r"^\p{ASCII}*$"), c).otherwise(F.regexp_replace(F.translate(wide, FOLD_FROM, FOLD_TO), r"[^\p{ASCII}]", ""))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -11,9 +11,10 @@ from registra.functions import geo as G
 from registra.functions import text as T
 from registra.operators.dimensions import address_key, business_identity, member_key, sequence_order
 from registra.operators.history import latest_per_day, snapshot_events
-from registra.operators.sequence import as_of, first_known, greatest_per, last_known, per_year, previous_rows, year_before
+from registra.operators.sequence import as_of, first_known, greatest_per, last_known, per_year, previous_rows, spans, year_before
 from registra.schema import UNKNOWN
 
+FAR_FUTURE = "9999-12-31T00:00:00Z"
 ATTRIBUTES = ["business_name", "status", "category_sk", "address_sk", "neighbourhood_sk"]
 
 
@@ -120,20 +121,22 @@ def renewals(fact: DataFrame) -> DataFrame:
 
 
 def attribute_history(fact: DataFrame) -> DataFrame:
-    """Type 2 history by day: versions with half-open days, the attributes that changed, and the number of records in each.
+    """Type 2 history by record: a version starts with a business's first record and wherever a known attribute differs from the record before.
 
-    Unknown values (null, -1) keep the last known one; an open end is null and ``is_current``.
+    All records count, undated ones (first in sequence) and several of one day too. Versions are half-open
+    from their least issue date (null if undated) to the next version's, the last one to ``FAR_FUTURE``.
+    Values and the licence number are the first known ones of the version.
     """
-    dated = fact.filter("business_sk <> -1 and issued_date is not null").withColumn("_issued", D.utc_day(F.col("issued_date"), fact.schema["issued_date"].dataType))
-    daily = latest_per_day(dated, "business_sk", "_issued", ["extract_date", "licence_rsn"], ATTRIBUTES, dict.fromkeys(["category_sk", "address_sk", "neighbourhood_sk"], UNKNOWN))
-    events = snapshot_events(daily, ATTRIBUTES).filter("_kind <> 'deleted'")
-    w = Window.partitionBy("_entity").orderBy("_day")
-    versions = events.select("_entity", "_day", F.lead("_day").over(w).alias("_end"), *ATTRIBUTES, F.array_join("_changed", ";").alias("_why"))
-    counts = dated.groupBy(F.col("business_sk").alias("_entity"), F.col("_issued").alias("_day")).agg(F.count(F.lit(1)).alias("_c"))
-    laid = counts.join(versions.select("_entity", "_day", F.col("_day").alias("_start")), ["_entity", "_day"], "left")
-    held = laid.withColumn("_start", F.last("_start", True).over(w)).groupBy("_entity", F.col("_start").alias("_day")).agg(F.sum("_c").alias("record_count"))
-    return versions.join(held, ["_entity", "_day"]).select(
-        F.col("_entity").alias("business_sk"), D.ymd(F.col("_day")).alias("valid_from"), D.ymd(F.col("_end")).alias("valid_to"), F.col("_end").isNull().alias("is_current"), *ATTRIBUTES,
+    order = sequence_order()
+    rows = spans(fact.filter("business_sk <> -1"), "business_sk", order, ATTRIBUTES)
+    versions = rows.groupBy("business_sk", "_span").agg(
+        F.min("issued_date").alias("valid_from"), *[first_known(c, order).alias(c) for c in (*ATTRIBUTES, "licence_number")],
+        F.array_join(F.min_by("_why", F.struct(*order)), ";").alias("_why"), F.count(F.lit(1)).alias("record_count"),
+    )
+    followed = previous_rows(versions, "business_sk", [-F.col("_span")], ["valid_from"], "_next_")
+    end = F.coalesce("_next_valid_from", F.lit(FAR_FUTURE).cast("timestamp"))
+    return followed.select(
+        "business_sk", "valid_from", end.alias("valid_to"), F.col("_next_valid_from").isNull().alias("is_current"), *ATTRIBUTES, "licence_number",
         F.coalesce(F.nullif("_why", F.lit("")), F.lit("initial")).alias("change_reason"), "record_count",
     )
 

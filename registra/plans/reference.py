@@ -265,7 +265,7 @@ def haversine(spark, folder):
 
 
 def business_history(spark, folder):
-    return facts.attribute_history(_fact(spark, folder))
+    return _plain(facts.attribute_history(_fact(spark, folder)))
 
 
 def as_was_join(spark, folder):
@@ -290,7 +290,8 @@ def mart_neighbourhood(spark, folder):
 
 
 def mart_lifespan(spark, folder):
-    return marts.spans_by_category(_fact(spark, folder), table(spark, folder, "dim_category"), 2015)
+    first = _fact(spark, folder).agg(F.min("folder_year")).first()[0]
+    return marts.spans_by_category(_fact(spark, folder), table(spark, folder, "dim_category"), first)
 
 
 def mart_address(spark, folder):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from registra.functions.geo import EARTH_KM
-from registra.functions.text import FOLD_FROM, FOLD_TO, LIGATURES, POSTAL_SHAPE
+from registra.functions.text import FOLD_FROM, FOLD_LONGER, FOLD_TO, POSTAL_SHAPE, ranges
 from registra.plans.reference import END, ENDED, NOW, RULES, SINCE, START, STATES, STREAMLINED, UNTIL
 from registra.plans.register_sql import DECIMAL, ISO, RECORD_COLUMNS, whole
 from registra.schema import ADDRESS, COLUMNS
@@ -36,7 +36,7 @@ def _century(c: str) -> str:
 
 
 def _rounded(c: str, digits: int) -> str:
-    return f"floor(({c}) * {10.0**digits} + 0.5) / {10.0**digits}"
+    return f"round_even(({c}) * {10.0**digits}, 0) / {10.0**digits}"
 
 
 def _squeeze(c: str) -> str:
@@ -44,7 +44,7 @@ def _squeeze(c: str) -> str:
 
 
 def _upper(c: str) -> str:
-    for k, v in ({"ß": "ss"} | LIGATURES).items():
+    for k, v in {"ß": "ss", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}.items():
         c = f"replace({c}, '{k}', '{v}')"
     return f"upper({c})"
 
@@ -53,10 +53,11 @@ def _plain_key(c: str) -> str:
     return _squeeze(f"regexp_replace({_upper(c)}, '[^A-Z0-9 ]', '', 'g')")
 
 
+_LONGER = "MAP {" + ", ".join(f"'{k}': '{v.replace(chr(39), chr(39) * 2)}'" for k, v in FOLD_LONGER.items()) + "}"
+
+
 def _fold(c: str) -> str:
-    wide = c
-    for k, v in LIGATURES.items():
-        wide = f"replace({wide}, '{k}', '{v}')"
+    wide = f"(case when regexp_matches({c}, '[{ranges(''.join(FOLD_LONGER))}]') then array_to_string(list_transform(string_split({c}, ''), lambda x: coalesce({_LONGER}[x], x)), '') else {c} end)"
     return f"(case when regexp_matches({c}, '^[\\x00-\\x7f]*$') then {c} else regexp_replace(translate({wide}, '{FOLD_FROM}', '{FOLD_TO.replace(chr(39), chr(39) * 2)}'), '[^\\x00-\\x7f]', '', 'g') end)"
 
 
@@ -258,21 +259,26 @@ SQL = {
     "business_lifecycle": f"with {LIVES} select business_sk, licence_count, record_count, {_sec('first_issued')} as first_issued, {_sec('last_issued')} as last_issued, {_sec('last_expired')} as last_expired, first_folder_year, last_folder_year, latest_status, latest_category_sk, latest_neighbourhood_sk, latest_address_sk, span_days, span_years from lives",
     "address_change": f"with {MOVES} select * replace ({_sec('changed_on')} as changed_on) from moves",
     "haversine": f"with b as (select 49.25 as latitude, -123.1 as longitude) select a.address_sk, {_KM} as km from dim_address a, b where a.latitude is not null and not isnan(a.latitude)",
-    "business_history": f"""with {HIST}, cnt as (select vv.business_sk, vv.d, count(*) as record_count from vv join day on day.business_sk = vv.business_sk and day.d >= vv.d and (vv.e is null or day.d < vv.e) group by all)
-      select vv.business_sk, {_YMD.format("vv.d")} as valid_from, {_YMD.format("e")} as valid_to, e is null as is_current, {", ".join(_ATTR)}, coalesce(nullif(why, ''), 'initial') as change_reason, record_count from vv join cnt using (business_sk, d)""",
+    "business_history": f"""with sq as (select *, row_number() over w as o, {", ".join(f"lag({c}) over w as p_{c}" for c in _ATTR)} from fact_licence where business_sk <> -1 window w as (partition by business_sk order by {_SEQ})),
+      fl as (select *, concat_ws(';', {", ".join(f"case when {c} <> p_{c} then '{c}' end" for c in _ATTR)}) as why from sq),
+      sp as (select *, sum(case when o = 1 or why <> '' then 1 else 0 end) over (partition by business_sk order by o rows unbounded preceding) as span from fl),
+      g as (select business_sk, span, min(issued_date) as valid_from, {", ".join(f"arg_min({c}, o) filter ({c} is not null) as {c}" for c in (*_ATTR, "licence_number"))}, coalesce(nullif(arg_min(why, o), ''), 'initial') as change_reason, count(*) as record_count from sp group by all),
+      n as (select *, coalesce(lead(valid_from) over (partition by business_sk order by span), timestamptz '9999-12-31 00:00:00+00') as valid_to from g)
+      select * exclude (span) replace ({_sec("valid_from")} as valid_from, {_sec("valid_to")} as valid_to), valid_to = timestamptz '9999-12-31 00:00:00+00' as is_current from n""",
     "as_was_join": f"with {HIST} select day.licence_rsn, day.business_sk, vv.status as as_was_status, vv.category_sk as as_was_category_sk from day join vv on day.business_sk = vv.business_sk and day.d >= vv.d and (vv.e is null or day.d < vv.e)",
     "status_transition": f"with {TRANS} select * from moves",
     "top_transitions": f"with {TRANS} select from_status, to_status, count(*) as n from moves group by all order by n desc, from_status, to_status limit 5",
     "renewal": f"""with {RENEW} select business_sk, from_folder_year, folder_year as to_folder_year, {_sec("previous_first_issued")} as previous_first_issued, {_sec("previous_last_expired")} as previous_last_expired, {_sec("renewed_on")} as renewed_on, licences_held, status_after, gap_days, year_gap,
       coalesce(gap_days <= 0, false) as renewed_before_expiry, coalesce(gap_days > 0, false) as lapsed_then_renewed, year_gap > 1 as skipped_a_year from g""",
     "mart_neighbourhood": f"""with {FLAGS}, r as (select * from flags where is_current_revision and business_sk <> -1 and (issued_date is null or {_day("issued_date")} <= date '{END}') and (expired_date is null or {_day("expired_date")} >= date '{START}')),
-      w as (select neighbourhood_sk, {", ".join(f"count(distinct business_sk) filter (status = '{s}') as {n}" for s, n in _COL.items())} from r group by 1),
-      t as (select *, {" + ".join(_COL.values())} as total, {" + ".join(_COL[s] for s in ENDED)} as ended from w)
+      w as (select neighbourhood_sk, {", ".join(f"count(distinct business_sk) filter (status = '{s}') as {n}" for s, n in _COL.items())}, count(distinct business_sk) filter (status is null or status not in ({", ".join(f"'{s}'" for s in STATES)})) as other from r group by 1),
+      t as (select *, {" + ".join(_COL.values())} + other as total, {" + ".join(_COL[s] for s in ENDED)} as ended from w)
       select t.*, {_rounded("ended / nullif(total, 0)", 4)} as ended_rate, coalesce(local_area, 'Unknown') as local_area from t left join dim_neighbourhood using (neighbourhood_sk)""",
     "mart_lifespan": f"""with {LIVES}, m as (select latest_category_sk as category_sk, count(*) as business_count, {_rounded("avg(span_years)", 2)} as avg_years, {_rounded("median(span_years)", 2)} as median_years, min(span_years) as min_years, max(span_years) as max_years
-      from lives where span_years is not null and span_days >= 0 and first_folder_year > 2015 group by 1) select m.*, business_type, business_subtype, 'observed' as cohort from m left join dim_category using (category_sk)""",
-    "mart_address": f"""with {MOVES} select moves.* replace ({_sec("changed_on")} as changed_on), a.street as from_street, b.street as to_street, x.local_area as from_local_area, y.local_area as to_local_area from moves
-      left join dim_address a on a.address_sk = from_address_sk left join dim_address b on b.address_sk = to_address_sk left join dim_neighbourhood x on x.neighbourhood_sk = from_neighbourhood_sk left join dim_neighbourhood y on y.neighbourhood_sk = to_neighbourhood_sk""",
+      from lives where span_years is not null and span_days >= 0 and first_folder_year > (select min(folder_year) from fact_licence) group by 1) select m.*, business_type, business_subtype, 'observed' as cohort from m left join dim_category using (category_sk)""",
+    "mart_address": f"""with {MOVES} select moves.* replace ({_sec("changed_on")} as changed_on), a.street as from_street, b.street as to_street, concat_ws(' ', a.unit_type, a.unit, a.house, a.street) as from_address, concat_ws(' ', b.unit_type, b.unit, b.house, b.street) as to_address, business_name, x.local_area as from_local_area, y.local_area as to_local_area from moves
+      left join dim_address a on a.address_sk = from_address_sk left join dim_address b on b.address_sk = to_address_sk left join dim_neighbourhood x on x.neighbourhood_sk = from_neighbourhood_sk left join dim_neighbourhood y on y.neighbourhood_sk = to_neighbourhood_sk
+      left join (select business_sk, arg_max(business_name, o) filter (business_name is not null) as business_name from (select *, row_number() over (partition by business_sk order by {_SEQ}) as o from fact_licence) group by 1) using (business_sk)""",
     "daily_partition_keys": f"with {_DAYKEYS} select year, month, issued_day, count(*) as n from dk group by all",
     "undated_routing": f"with {_DAYKEYS} select licence_rsn, year, month, issued_day from dk where issued_date is null",
     "reconcile_counts": f"with {_PROBE} select coalesce(a.partition, b.partition) as partition, a.row_count as offered, b.row_count as held, case when a.row_count is null or b.row_count is null then 'partial' when a.row_count = b.row_count then 'match' else 'MISMATCH' end as verdict from offered a full join held b on a.partition = b.partition",

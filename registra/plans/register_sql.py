@@ -93,7 +93,7 @@ PROFILE = f"""{CELLS}
 select cast(g as bigint) as folder_year, strftime(dt, '%Y-%m-%d') as extract_day, column_name, cast(sum(n) as bigint) as row_count, cast(coalesce(sum(n) filter (v is null), 0) as bigint) as missing_count,
   count(v) as distinct_count, min(v) filter (column_name not in ({_TYPED})) as least_value, max(v) filter (column_name not in ({_TYPED})) as greatest_value,
   min(num) as least_number, max(num) as greatest_number, epoch_us(min(inst)) as first_instant, epoch_us(max(inst)) as last_instant, cast(coalesce(sum(n) filter (lack), 0) as bigint) as without_form,
-  floor((log2(sum(n) filter (v is not null)) - sum(n * log2(n)) filter (v is not null) / sum(n) filter (v is not null)) * 1000000 + 0.5) / 1000000 as entropy_bits from f group by all"""
+  round_even((log2(sum(n) filter (v is not null)) - sum(n * log2(n)) filter (v is not null) / sum(n) filter (v is not null)) * 1000000, 0) / 1000000 as entropy_bits from f group by all"""
 
 DELTAS = f"""{CELLS}, m as (select f.g, f.column_name, f.v, f.n as c, l.n, l.dt from f join loads l using (g, dt)),
 j as (select coalesce(a.g, b.g) as g, coalesce(a.column_name, b.column_name) as column_name, coalesce(a.v, b.v) as v, coalesce(a.n, b.n + 1) as n, coalesce(a.c, 0) as c, coalesce(b.c, 0) as bc
