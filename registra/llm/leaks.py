@@ -5,21 +5,45 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from registra.session import busy, cut, small_side
+from registra.session import busy, cut, shuffled, small_side
 
-_COMMENT = re.compile(r"<!--.*?-->", re.S)
-_INLINE = re.compile(r"</?(?:b|i|em|strong|u|s|wbr|sub|sup|small|big|mark|font|code)(?:\s[^<>]*)?/?>", re.I)
-_TAG = re.compile(r"</?[A-Za-z!][^<>]*>")
-_ESCAPE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|\\U([0-9a-fA-F]{8})")
-_PERCENT = re.compile(r"(?:%[0-9a-fA-F]{2})+")
-_BREAK = re.compile(r"\\[nrt](?![a-z])")
-_UNSEEN = dict.fromkeys([0xAD, 0x34F, 0xFEFF, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065)])
+# Patterns that the engine's and Python's regular expressions read alike.
+COMMENT = r"(?s)<!--.*?-->"
+INLINE = r"(?i)</?(?:b|i|em|strong|u|s|wbr|sub|sup|small|big|mark|font|code)(?:\s[^<>]*)?/?>"
+TAG = r"</?[A-Za-z!][^<>]*>"
+ESCAPE = r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|\\U([0-9a-fA-F]{8})"
+PERCENT = r"(?:%[0-9a-fA-F]{2})+"
+BREAK = r"\\[nrt]"  # an escaped line end; before a small letter it may also be a backslash and a word
+DOUBTFUL = r"\\[nrt](?=[a-z])"
+UNSEEN = "[\u00ad\u034f\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]"
+_UNSEEN = re.compile(UNSEEN)
+_COMMENT, _INLINE, _TAG, _ESCAPE, _PERCENT, _BREAK, _DOUBTFUL = map(re.compile, (COMMENT, INLINE, TAG, ESCAPE, PERCENT, BREAK, DOUBTFUL))
+
+
+@lru_cache(1)
+def escaped(gap: int = 0x500) -> str:
+    """Pattern of what only Python undoes: character escapes and text that may not be in composed form.
+
+    The latter are marks, Hangul vowels and finals, and characters that composition replaces, found by
+    rule in the Unicode data. Neighbours less than ``gap`` apart are made one range: few ranges are
+    quick to test, and a text that passes through Python without need comes out the same.
+    """
+    runs: list[list[int]] = []
+    for c in range(0x80, 0x30000):
+        ch = chr(c)
+        if not 0xD800 <= c < 0xE000 and (unicodedata.category(ch)[0] == "M" or 0x1161 <= c <= 0x11C2 or unicodedata.normalize("NFC", ch) != ch):
+            if runs and c - runs[-1][1] < gap:
+                runs[-1][1] = c
+            else:
+                runs.append([c, c])
+    return r"[&\\" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in runs) + "]|%[0-9a-fA-F]{2}"
 
 
 def _character(m: re.Match) -> str:
@@ -34,12 +58,14 @@ def _percent(m: re.Match) -> str:
         return m[0]
 
 
-def undress(text: str | None) -> str | None:
-    """Text without markup, character escapes and unseen characters, in composed form and lower case."""
-    if text is None:
-        return None
+def undress(text: str, breaks: bool = True) -> str:
+    """Text without markup, character escapes and unseen characters, in composed form.
+
+    An escaped line end before a small letter is a line end only with ``breaks``; else the backslash is
+    read as a sign, as in a path.
+    """
     if "\\" in text:
-        text = _BREAK.sub(" ", _ESCAPE.sub(_character, text))
+        text = (_BREAK if breaks else re.compile(r"\\[nrt](?![a-z])")).sub(" ", _ESCAPE.sub(_character, text))
     if "%" in text:
         text = _PERCENT.sub(_percent, text)
     for _ in range(2):
@@ -48,9 +74,7 @@ def undress(text: str | None) -> str | None:
         if "&" not in text:
             break
         text = html.unescape(text)
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text.translate(_UNSEEN))
-    return text.lower()
+    return unicodedata.normalize("NFC", _UNSEEN.sub("", text))
 
 
 @F.pandas_udf(StringType())
@@ -58,9 +82,29 @@ def _undressed(texts: pd.Series) -> pd.Series:
     return texts.map(undress, na_action="ignore")
 
 
-def words_of(text: Column) -> Column:
-    """Runs of letters and digits of the undressed text; null has none."""
-    return F.regexp_extract_all(F.coalesce(_undressed(text), F.lit("")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+@F.pandas_udf(StringType())
+def _undressed_otherwise(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: undress(t, False), na_action="ignore")
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
+def with_words(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``_w`` and ``_v``: the runs of letters and digits of the undressed text in lower case, and those of its other reading.
+
+    Null has no words; ``_v`` is empty unless an escaped line end can be read in two ways. Markup and
+    unseen characters go in the engine; only texts with character escapes or loose marks, the lesser
+    part, pass through Python.
+    """
+    value = F.col(text)
+    hard = F.col("_kind")
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, COMMENT, ""), INLINE, ""), TAG, " ")
+    plain = F.regexp_replace(F.when(value.contains("<"), bare).otherwise(value), UNSEEN, "")
+    asked = df.withColumn("_kind", F.coalesce(value.rlike(escaped()), F.lit(False))).withColumns({"_hard": F.when(hard, value), "_doubt": F.when(hard & value.rlike(DOUBTFUL), value), "_plain": F.when(~hard, plain)})
+    read = asked.withColumns({"_hard": _undressed("_hard"), "_doubt": _undressed_otherwise("_doubt")})
+    return read.withColumns({"_w": _words(F.coalesce("_hard", "_plain")), "_v": F.when(F.col("_doubt").isNotNull(), _words(F.col("_doubt"))).otherwise(F.array().cast("array<string>"))}).drop("_kind", "_hard", "_doubt", "_plain")
 
 
 def _runs(words: Column, size: int) -> Column:
@@ -80,32 +124,45 @@ def contained_passages(docs: DataFrame, doc_id: str, items: DataFrame, item_id:
 
     ``share`` is the share of the item's runs of ``least`` words that the document holds. Null, empty and
     shorter texts contain nothing; repeated rows give repeated rows; null ids are kept; other columns
-    are left out.
+    are left out. Where an escaped line end can be read in two ways, a run in either reading counts.
 
     Search: a shared passage may be a small part of both texts, so both are cut into overlapping parts
     of one size class: the windows of ``least`` words, each a set of ``least - shingle + 1`` shingles.
     Within that class containment is equality, hence one MinHash of a window collides for certain and
     the search loses nothing; neighbouring windows mostly share their MinHash, which leaves about two
     values in seven to compare. The items' signatures are broadcast only if counted to fit.
-    Verification: texts with a candidate compare exact runs of ``least`` words.
-    Equal texts are searched once; hot texts meet only in the last join, on one small side.
+    Verification: texts with a candidate are read again and compared by exact runs of ``least`` words, equal
+    texts once. The corpus is undressed once; a hot text meets the rest only in the last join, on one small side.
     """
     width = least - shingle + 1
-    item_words = items.select(F.col(item_id).alias("_item"), words_of(F.col(text)).alias("_w")).withColumn("_s", _runs(F.col("_w"), shingle))
-    probes = item_words.select("_item", F.explode(_signatures(F.col("_s"), width)).alias("_sig")).distinct()
-    item_runs = item_words.select("_item", F.array_distinct(_exact(F.col("_w"), least)).alias("_runs")).filter(F.size("_runs") > 0)
-
-    corpus = busy(docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).filter("_text is not null")).withColumn("_own", F.md5(F.col("_text").cast("binary")))
-    shingled = corpus.select("_own", words_of(F.col("_text")).alias("_w")).select("_own", _runs(F.col("_w"), shingle).alias("_s"))
-    signed = shingled.select("_own", F.explode(_signatures(F.col("_s"), width)).alias("_sig"))
-    candidates = cut(signed.join(small_side(probes), "_sig").select("_own", "_item").distinct())
-
-    owners = small_side(candidates.select("_own").distinct())
-    texts = corpus.select("_own", "_text").join(owners, "_own", "left_semi").dropDuplicates(["_own"])
-    held = texts.select("_own", words_of(F.col("_text")).alias("_w")).select("_own", _exact(F.col("_w"), least).alias("_held"))
-    both = held.join(candidates, "_own").join(small_side(item_runs, 10_000), "_item")
+
+    def signed(df: DataFrame, *keys: str) -> DataFrame:
+        """The signatures of both readings; the shingles are columns of their own, so that they are made once."""
+        shingled = df.select(*keys, _runs(F.col("_w"), shingle).alias("_s"), _runs(F.col("_v"), shingle).alias("_t"))
+        return shingled.select(*keys, F.explode(F.concat(_signatures(F.col("_s"), width), _signatures(F.col("_t"), width))).alias("_sig"))
+
+    item_words = cut(with_words(items.select(F.col(item_id).alias("_item"), F.col(text).alias("_text")), "_text").drop("_text"))
+    probes = signed(item_words, "_item").distinct()
+    item_runs = item_words.select("_item", F.array_distinct(_exact_runs(least)).alias("_runs")).filter(F.size("_runs") > 0)
+
+    corpus = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).filter("_text is not null")
+    own = F.md5(F.col("_text").cast("binary"))
+    numbered = busy(corpus).withColumns({"_row": F.monotonically_increasing_id(), "_own": own})
+    searched = signed(with_words(numbered, "_text"), "_row", "_doc", "_own")
+    candidates = cut(searched.join(small_side(probes), "_sig").select("_row", "_doc", "_own", "_item").distinct())
+
+    asked = candidates.select("_own", "_item").distinct()
+    texts = corpus.withColumn("_own", own).join(small_side(asked.select("_own").distinct()), "_own", "left_semi").dropDuplicates(["_own"])
+    held = with_words(texts, "_text").select("_own", _exact_runs(least).alias("_held"))
+    both = held.join(shuffled(asked), "_own").join(small_side(item_runs, 10_000), "_item")
     shared = both.select("_own", "_item", (F.size(F.array_intersect("_runs", "_held")) / F.size("_runs")).alias("share")).filter("share > 0")
-    return corpus.select("_doc", "_own").join(small_side(cut(shared)), "_own").select(F.col("_doc").alias(doc_id), F.col("_item").alias(item_id), "share")
+    found = candidates.join(small_side(cut(shared)), ["_own", "_item"])
+    return found.select(F.col("_doc").alias(doc_id), F.col("_item").alias(item_id), "share")
+
+
+def _exact_runs(size: int) -> Column:
+    """All runs of ``size`` words of both readings as text."""
+    return F.concat(_exact(F.col("_w"), size), _exact(F.col("_v"), size))
 
 
 def _exact(words: Column, size: int) -> Column:
