@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registra.functions import text as T
-from registra.session import cut, small_side
+from registra.session import cut, release, small_side
 
 
 def filled(columns: list[str]) -> Column:
@@ -42,13 +42,14 @@ def claims(df: DataFrame, key: str, source: str, columns: list[str]) -> DataFram
     return rows.select(F.col(key).alias("_key"), F.col(source).alias("_source"), F.inline(cells)).distinct()
 
 
-def judged_values(df: DataFrame, key: str, source: str, columns: list[str], rounds: int = 10) -> DataFrame:
+def judged_values(df: DataFrame, key: str, source: str, columns: list[str], rounds: int = 12, settled: float = 0.002) -> DataFrame:
     """``_key``, ``_field``, ``_value``, ``_sources`` (how many claim it) and ``_p``, the probability that it is true.
 
     A source that fills the field of a key with other values speaks against a value; one that leaves it
     missing is silent. Facts with the same field and the same sources for and against are one pattern, so
-    the rounds run on patterns with counts, not on the facts; the quality table (one row per field and
-    source) is written out after each round. Empty tables give an empty result.
+    the rounds run on patterns with counts, not on the facts. They end when no source's quality moves by
+    more than ``settled``, after ``rounds`` at the latest; the quality table (one row per field and source)
+    is written out after each, and what the round before wrote is removed. Empty tables give an empty result.
     """
     said = claims(df, key, source, columns)
     spoke = said.groupBy("_key", "_field").agg(F.array_sort(F.collect_set("_source")).alias("_all"))
@@ -58,8 +59,9 @@ def judged_values(df: DataFrame, key: str, source: str, columns: list[str], roun
     votes = cut(patterns.select("_pattern", "_field", "_n", "_for", F.explode("_all").alias("_source")).select("_pattern", "_field", "_n", "_source", F.array_contains("_for", F.col("_source")).alias("_yes")))
     start = votes.groupBy("_pattern", "_field", "_n").agg(F.avg(F.col("_yes").cast("double")).alias("_p"))
     belief = cut(start)
+    quality = None
     for _ in range(rounds):
-        weighed = votes.join(belief.select("_pattern", "_p"), "_pattern")
+        before, weighed = quality, votes.join(belief.select("_pattern", "_p"), "_pattern")
         hit = F.sum(F.when(F.col("_yes"), F.col("_n") * F.col("_p")).otherwise(0.0))
         false_hit = F.sum(F.when(F.col("_yes"), F.col("_n") * (1 - F.col("_p"))).otherwise(0.0))
         quality = cut(
@@ -70,7 +72,14 @@ def judged_values(df: DataFrame, key: str, source: str, columns: list[str], roun
         )
         tr, fa = F.col("_sensitivity"), F.col("_false_rate")
         odds = F.sum(F.when(F.col("_yes"), F.log(tr / fa)).otherwise(F.log((1 - tr) / (1 - fa))))
-        belief = cut(votes.join(small_side(quality), ["_field", "_source"]).groupBy("_pattern", "_field", "_n").agg((1 / (1 + F.exp(-odds))).alias("_p")))
+        last, belief = belief, cut(votes.join(small_side(quality), ["_field", "_source"]).groupBy("_pattern", "_field", "_n").agg((1 / (1 + F.exp(-odds))).alias("_p")))
+        release(last)
+        if before is not None:
+            old = before.select("_field", "_source", tr.alias("_tr"), fa.alias("_fa"))
+            moved = quality.join(old, ["_field", "_source"]).agg(F.max(F.greatest(F.abs(tr - F.col("_tr")), F.abs(fa - F.col("_fa"))))).first()[0]
+            release(before)
+            if (moved or 0.0) <= settled:
+                break
     return facts.join(small_side(belief.select("_pattern", "_p")), "_pattern").select("_key", "_field", "_value", F.size("_for").cast("bigint").alias("_sources"), "_p")
 
 

@@ -1,12 +1,15 @@
 """Election against a sort, and values judged by sources of unlike quality."""
 
 import random
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from registra.functions import text as T
 from registra.llm.survivors import judged_values, merged_records, representatives
 
+FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "k bigint, id bigint, a string, b string, at int, _key string"
 
 
@@ -40,3 +43,26 @@ def test_a_bad_source_is_outvoted_and_two_values_may_stay(spark):
     got = {r["_key"]: set(r["a"]) for r in merged_records(values, ["a"]).collect()}
     assert sum(got[k] == t for k, t in truth.items()) >= 0.95 * len(truth)
     assert judged_values(spark.createDataFrame([], "k bigint, s string, a string"), "k", "s", ["a"], rounds=2).count() == 0
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the driver's tables")
+def test_inferred_quality_beats_the_majority_on_the_licence_records(spark):
+    """Streets of the given records, delivered by three careful and four careless loads that repeat each other's stale values."""
+    rnd = random.Random(21)
+    records = spark.read.parquet(f"{FOLDER}/records.parquet")
+    streets = [r[0] for r in records.filter(~T.is_missing(F.col("street"))).select("street").distinct().orderBy("street").collect()]
+    licences = [r[0] for r in records.filter(~T.is_missing(F.col("licencersn"))).select("licencersn").distinct().orderBy("licencersn").collect()]
+    truth, claims = {}, []
+    for k, _ in enumerate(licences):
+        true, stale = rnd.sample(streets, 2)
+        truth[k] = true
+        for s in range(7):
+            right = rnd.random() < (0.95 if s < 3 else 0.35)
+            wrong = stale if rnd.random() < 0.8 else rnd.choice(streets)
+            claims.append((k, f"load{s}", true if right else wrong))
+    df = spark.createDataFrame(claims, "k bigint, s string, street string")
+    top = F.struct("_p", F.col("_sources").alias("n"), F.col("_value").alias("v"))
+    judged = judged_values(df, "k", "s", ["street"]).groupBy("_key").agg(F.max(top)["v"].alias("v")).collect()
+    counted = df.groupBy("k", "street").count().groupBy("k").agg(F.max_by("street", F.struct("count", "street"))).collect()
+    right = sum(truth[r[0]] == r[1] for r in judged), sum(truth[r[0]] == r[1] for r in counted)
+    assert len(truth) > 100 and right[0] >= 0.97 * len(truth) and right[0] > right[1] + 0.03 * len(truth)
