@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registra.functions import dates as D
 from registra.functions import text as T
+from registra.llm import leaks
 from registra.llm.bpe import BytePairs
 from registra.llm.codepoints import consistent_names
 from registra.llm.leaks import contained_passages
@@ -114,11 +117,56 @@ QUERIES = {
     "p9_found": p9_found, "p9_shares": p9_shares, "p10_found": p10_found, "p10_scores": p10_scores,
 }
 
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_ENTITIES = "MAP {" + ", ".join(f"{_sql_text('&' + k)}: {_sql_text(v)}" for k, v in html5.items()) + "}"
+
+
+def _pieces_sql(t: str, pattern: str, body: str) -> str:
+    """``t`` with each piece that ``pattern`` or what lies between takes replaced by ``body`` of ``x``."""
+    return f"array_to_string(list_transform(regexp_extract_all({t}, {_sql_text(pattern)}), lambda x: {body}), '')"
+
+
+def _code_sql(digits: str) -> str:
+    return f"case when try_cast({digits} as bigint) between 55296 and 57343 or coalesce(try_cast({digits} as bigint), 1114112) > 1114111 then ' ' else chr(try_cast({digits} as int)) end"
+
+
+def _words_sql(source: str, key: str, breaks: bool) -> str:
+    """Undressed words of a table's texts, in DuckDB: the steps of ``leaks.undress`` one after the other."""
+    hexed = _code_sql("('0x' || substr(x, 3))")
+    escaped = _pieces_sql("t", r"\\u[0-9a-fA-F]{4}|\\x[0-9a-fA-F]{2}|\\U[0-9a-fA-F]{8}|[^\\]+|\\", f"case when regexp_matches(x, '^\\\\[uxU][0-9a-fA-F]+$') then {hexed} else x end")
+    broken = f"regexp_replace({escaped}, {_sql_text(leaks.BREAK if breaks else r'\\[nrt]([^a-z]|$)')}, {"' '" if breaks else _sql_text(' ' + chr(92) + '1')}, 'g')"
+    percent = _pieces_sql("t", r"(?:%[0-9a-fA-F]{2})+|[^%]+|%", "case when regexp_matches(x, '^%[0-9a-fA-F]{2}') then coalesce(try(url_decode(x)), x) else x end")
+    tags = f"regexp_replace(regexp_replace(regexp_replace(t, {_sql_text(leaks.COMMENT)}, '', 'g'), {_sql_text(leaks.INLINE)}, '', 'g'), {_sql_text(leaks.TAG)}, ' ', 'g')"
+    number = _code_sql("case when lower(x[3:3]) = 'x' then '0x' || regexp_replace(x[4:], ';', '') else regexp_replace(x[3:], ';', '') end")
+    named = _pieces_sql("t", r"&#?[0-9A-Za-z]+;?|[^&]+|&", f"case when regexp_matches(x, '^&#([0-9]+|[xX][0-9a-fA-F]+);?$') then {number} else coalesce(m[x], x) end")
+    unseen = "t, " + _sql_text(leaks.UNSEEN) + ", '', 'g'"
+    out = f"(select row_number() over () as r, {key} as k, text as t from {source})"
+    for step in (broken, percent, tags, named, tags, named, f"nfc_normalize(regexp_replace({unseen}))"):
+        out = f"(select r, k, m, {step} as t from {out} s)" if " m," in out else f"(select r, k, m, {step} as t from {out} s, entities)"
+    return f"select r, k, regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}]+') as w from {out} s where t is not null"
+
+
+def _runs_sql(source: str, key: str) -> str:
+    both = f"{_words_sql(source, key, True)} union all {_words_sql(source, key, False)}"
+    return f"select distinct r, k, unnest(list_transform(range(1, len(w) - 8), lambda i: array_to_string(w[i:i + 9], ' '))) as run from ({both})"
+
+
+LEAKS = f"""with entities as (select {_ENTITIES} as m), dr as ({_runs_sql("documents", "doc_id")}), ir as ({_runs_sql("eval_items", "item_id")}),
+  n as (select r, count(*) as n from ir group by 1),
+  hit as (select dr.r as dr, dr.k as doc_id, ir.r as ir, ir.k as item_id, count(*) as c from dr join ir using (run) group by all)"""
+
 SQL = {
     "p6_found": f"""with r as (select record_no, {whole("licencersn")} as k, {" + ".join(f"cast({missing(c)} as int)" for c in RECORD_COLUMNS)} as miss,
       case when regexp_matches(trim(extractdate), '{ISO}') then try_cast(trim(extractdate) as timestamptz) when regexp_matches(trim(extractdate), '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') then try_cast(trim(extractdate) || 'T00:00:00Z' as timestamptz) end as x,
       case when not {missing("licencerevisionnumber")} and regexp_matches(licencerevisionnumber, '{DECIMAL}') then try_cast(trim(licencerevisionnumber, ' \t\n\r') as double) end as rev from records)
     select k as licence_rsn, record_no from r where k is not null
     qualify count(*) over (partition by k) > 1 and row_number() over (partition by k order by miss, x desc nulls last, rev desc nulls last, record_no) = 1""",
+    "p9_found": f"{LEAKS} select doc_id, item_id from hit",
+    "p9_shares": f"{LEAKS} select doc_id, item_id, round(c / n, 6) as share from hit join n on n.r = hit.ir",
     "p8_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }
