@@ -1,14 +1,15 @@
 """Byte-pair encoding of whole corpora in the engine's own expressions.
 
-Bytes are held as text of one Latin-1 character each, which the engine can hash, compare and concatenate
-without Python. The rank map is a literal: an array of small maps, chosen by a checksum of the piece, so
-that a look-up compares about three keys. Only the driver reads the vocabulary file.
+Words are byte arrays, which the engine can hash, compare and concatenate without Python. The rank map is a
+literal: an array of small maps, chosen by a checksum of the piece, so that a look-up compares about three
+keys. Only the driver reads the vocabulary file.
 """
 
 from __future__ import annotations
 
 import base64
 import json
+import unicodedata
 import zlib
 from collections.abc import Callable
 from functools import lru_cache
@@ -18,35 +19,60 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.classic.column import Column as ClassicColumn
 
-from registra.session import busy, spread
+from registra.session import busy, cut, shuffled, spread
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-# Fixed value: the vocabulary's split pattern, with Unicode white space as its own library has it.
-SPLIT = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The vocabulary's split pattern with @L, @N and @S for letters, numbers and white space, and the white space of Unicode.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[@L]+| ?[@N]+| ?[^@S@L@N]+|[@S]+(?![^@S])|[@S]+"
+WHITE_SPACE = r"\t-\r \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 BUCKETS = 16384
 NO_RANK = 2147483647
 
 
 @lru_cache(4)
-def _pieces(path: str) -> dict[str, int]:
+def _pieces(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
-        return {base64.b64decode(a).decode("latin-1"): int(b) for a, b in (line.split() for line in f if line.strip())}
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
 @lru_cache(4)
 def _rank_json(path: str) -> str:
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    buckets: list[list[dict]] = [[] for _ in range(BUCKETS)]
     for piece, rank in _pieces(path).items():
-        buckets[zlib.crc32(piece.encode()) % BUCKETS][piece] = rank
+        buckets[zlib.crc32(piece) % BUCKETS].append({"p": base64.b64encode(piece).decode(), "r": rank})
     return json.dumps(buckets, separators=(",", ":"))
 
 
 @lru_cache(4)
 def _piece_json(path: str) -> str:
-    by_rank = {rank: piece for piece, rank in _pieces(path).items()}
+    by_rank = {rank: piece.hex() for piece, rank in _pieces(path).items()}
     return json.dumps([by_rank.get(i) for i in range(max(by_rank) + 1)], separators=(",", ":"))
 
 
+def _ranges(points: list[int]) -> str:
+    """The inside of a character class for sorted code points."""
+    runs: list[list[int]] = []
+    for c in points:
+        if runs and c == runs[-1][1] + 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in runs)
+
+
+@lru_cache(1)
+def split_pattern() -> str:
+    """The split pattern for this session's engine.
+
+    Letters and numbers that the Unicode data at hand has and the engine's older data lack are found by
+    asking the engine for all of them at once, and put into the pattern as ranges.
+    """
+    known = "".join(ch for ch in map(chr, [*range(0xD800), *range(0xE000, 0x40000)]) if unicodedata.category(ch)[0] in "LN")
+    lacking = SparkSession.active().range(1).select(F.regexp_replace(F.lit(known), r"[\p{L}\p{N}]+", "")).first()[0]
+    letters, numbers = ([ord(c) for c in lacking if unicodedata.category(c)[0] == kind] for kind in "LN")
+    return SPLIT.replace("@L", r"\p{L}" + _ranges(letters)).replace("@N", r"\p{N}" + _ranges(numbers)).replace("@S", WHITE_SPACE)
+
+
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, with ``value`` in the plan once however often the body names it."""
     return F.get(F.transform(F.array(value), body), 0)
@@ -59,10 +85,9 @@ class BytePairs:
         self.path = path
 
     @staticmethod
-    def _literal(text: str, kind: str) -> Column:
-        """A constant read from JSON. In one block of bytes where the session lets its plan be reached: tasks then receive it as that and not as a hundred thousand objects."""
+    def _literal(value: Column) -> Column:
+        """A constant expression. In one block of bytes where the session lets its plan be reached: tasks then receive it as that and not as a hundred thousand objects."""
         spark = SparkSession.active()
-        value = F.from_json(F.lit(text), kind)
         try:
             frame = spark.range(1).select(value)._jdf
             block = frame.queryExecution().executedPlan().executeCollect()[0].copy().getArray(0)
@@ -73,14 +98,15 @@ class BytePairs:
 
     @property
     def _ranks(self) -> Column:
-        return self._literal(_rank_json(self.path), "array<map<string,int>>")
+        buckets = F.from_json(F.lit(_rank_json(self.path)), "array<array<struct<p:binary,r:int>>>")
+        return self._literal(F.transform(buckets, F.map_from_entries))
 
     @staticmethod
     def _rank(ranks: Column, piece: Column) -> Column:
-        return F.get(ranks, F.pmod(F.crc32(F.encode(piece, "UTF-8")), F.lit(BUCKETS)).cast("int"))[piece]
+        return F.get(ranks, F.pmod(F.crc32(piece), F.lit(BUCKETS)).cast("int"))[piece]
 
     def ranks(self, pieces: Column) -> Column:
-        """The id of each piece (Latin-1 text) of an array, or null."""
+        """The id of each piece (bytes) of an array, or null."""
         return bound(self._ranks, lambda m: F.transform(pieces, lambda w: self._rank(m, w)))
 
     def merge(self, word: Column) -> Column:
@@ -94,7 +120,7 @@ class BytePairs:
         def rank(piece: Column) -> Column:
             return F.coalesce(self._rank(m, piece), F.lit(NO_RANK))
 
-        letters = F.filter(F.split(word, ""), lambda c: c != "")
+        letters = F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: F.substring(word, i, F.lit(1)))
         ranks = F.transform(F.slice(letters, F.lit(1), F.size(letters) - 1), lambda c, i: rank(F.concat(c, F.get(letters, i + 1))))
 
         def step(state: Column, _: Column) -> Column:
@@ -107,7 +133,8 @@ class BytePairs:
             behind = F.when(at + 1 < F.size(p), F.array(rank(F.concat(joined, F.get(p, at + 1))))).otherwise(none)
             pieces = F.concat(F.slice(p, F.lit(1), at - 1), F.array(joined), F.slice(p, at + 2, F.size(p)))
             nearby = F.concat(F.slice(r, F.lit(1), F.greatest(at - 2, F.lit(0))), before, behind, F.slice(r, at + 2, F.size(r)))
-            return F.when(least < NO_RANK, F.struct(pieces.alias("p"), nearby.alias("r"))).otherwise(state)
+            over = F.struct(p.alias("p"), none.alias("r"))  # without ranks the steps that are left cost nothing
+            return F.when(least < NO_RANK, F.struct(pieces.alias("p"), nearby.alias("r"))).otherwise(over)
 
         start = F.struct(letters.alias("p"), ranks.alias("r"))
         return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(letters), F.lit(2))), start, step, lambda s: F.transform(s["p"], lambda w: self._rank(m, w)))
@@ -116,24 +143,22 @@ class BytePairs:
         """``key`` and ``ids`` (array of int) of each row, without special tokens or clean-up.
 
         Null and empty texts give an empty list. Repeated keys and rows each give a row, null keys too;
-        other columns are left out. A word that is a piece itself gets its id in place. The other words
-        are encoded once per distinct word, and only those words travel; their ids come back to the
-        texts by word and salt (a hash of the row), so a word in a third of all texts spreads. Letters newer than the Java
-        runtime's Unicode version split as signs. A single word of n bytes costs up to n times n steps.
+        other columns are left out. The texts are split once. A word that is a piece itself gets its id in
+        place. The other words are encoded once per distinct word, and only those words travel; their ids
+        come back by word and salt (a hash of the row), so a word in a third of all texts spreads. A single
+        word of n bytes costs up to n times n steps.
         """
         salts = salts or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-        rows = busy(df.select(F.col(key).alias("_key"), F.col(text).alias("_text")))
-        own = F.md5(F.concat(F.coalesce(F.col("_key").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("_text", F.lit(""))).cast("binary"))
-        words = F.transform(F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit(SPLIT), F.lit(0)), lambda w: F.decode(F.encode(w, "UTF-8"), "ISO-8859-1"))
-        split = rows.select("_key", own.alias("_own"), words.alias("_words"))
-        split = split.withColumn("_ids", self.ranks(F.col("_words")))
-        known = F.transform("_ids", lambda i: F.coalesce(i, F.lit(-1)))
+        rows = busy(df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))).withColumn("_row", F.monotonically_increasing_id())
+        words = F.transform(F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit(split_pattern()), F.lit(0)), lambda w: w.cast("binary"))
+        split = rows.select("_key", "_row", words.alias("_words")).withColumn("_ids", self.ranks(F.col("_words")))
         lacking = F.filter(F.transform("_words", lambda w, i: F.when(F.get("_ids", i).isNull(), F.struct(i.alias("at"), w.alias("word")))), lambda x: x.isNotNull())
-        unknown = split.select("_own", F.inline(lacking)).withColumn("_salt", F.pmod(F.xxhash64("_own"), F.lit(salts)).cast("int"))
-        salted = unknown.select("word", "_salt").distinct()
+        split = cut(split.select("_key", "_row", F.transform("_ids", lambda i: F.coalesce(i, F.lit(-1))).alias("_known"), lacking.alias("_lacking")))
+        unknown = split.select("_row", F.inline("_lacking")).withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int"))
+        salted = cut(unknown.select("word", "_salt").distinct())
         encoded = spread(salted.select("word").distinct()).select("word", self.merge(F.col("word")).alias("ids"))
-        filled = unknown.join(salted.join(encoded, "word"), ["word", "_salt"]).groupBy("_own").agg(F.array_sort(F.collect_set(F.struct("at", "ids"))).alias("_fill"))
-        joined = split.select("_key", "_own", known.alias("_known")).join(filled, "_own", "left")
+        filled = unknown.join(shuffled(salted.join(shuffled(encoded), "word")), ["word", "_salt"]).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("_fill"))
+        joined = split.select("_key", "_row", "_known").join(shuffled(filled), "_row", "left")
 
         at = F.transform("_fill", lambda x: x["at"])
         n = F.size("_fill")
@@ -148,6 +173,6 @@ class BytePairs:
 
     def decode(self, ids: Column) -> Column:
         """The text of an array of ids; null ids and ids outside the vocabulary add nothing."""
-        pieces = self._literal(_piece_json(self.path), "array<string>")
-        joined = bound(pieces, lambda p: F.array_join(F.transform(ids, lambda i: F.get(p, i)), ""))
-        return F.decode(F.encode(joined, "ISO-8859-1"), "UTF-8")
+        pieces = self._literal(F.from_json(F.lit(_piece_json(self.path)), "array<string>"))
+        joined = bound(pieces, lambda p: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")))
+        return F.decode(joined, "UTF-8")
