@@ -13,10 +13,10 @@ from registra.operators import dimensions as dims
 from registra.operators import facts, marts
 from registra.operators.curate import curate, write_daily, write_summary
 from registra.operators.incremental import check_load
-from registra.schema import RAW, Rules
+from registra.schema import Rules
 from registra.session import build_session
 from registra.sources import files
-from registra.sources.portal import Portal, PortalError, as_text, decode_year, encode_year
+from registra.sources.portal import Portal, PortalError, decode_year, encode_year
 
 log = logging.getLogger("registra")
 MOST_STATES = 200
@@ -60,7 +60,7 @@ def run_fetch(spark, args) -> int:
     """Probe each partition, load what differs, check it, save it; one partition's failure does not stop the others."""
     portal = Portal(args.base, args.dataset)
     offered = dict(portal.discover(args.first_year))
-    chosen = [encode_year(x) for x in args.partition] if args.partition else list(offered)
+    chosen = portal_labels(offered, args)
     if unknown := [x for x in chosen if x not in offered]:
         log.error("unknown partitions: %s", ", ".join(unknown))
         return 2
@@ -77,22 +77,36 @@ def run_fetch(spark, args) -> int:
             if args.dry_run:
                 log.info("%s would be loaded (%d rows)", year, rows)
                 continue
-            records = portal.export(label)
-            raw = spark.createDataFrame([tuple(as_text(r.get(n)) for n in RAW.names) for r in records], RAW)
+            arrived = f"{args.raw_root}/.arrived/{year}/{files.RECORDS}"
+            files.land(portal.received(label), arrived)
+            raw = files.read_received(spark, arrived)
             verdict = check_load(raw, label, Rules(), held and held["rows"], held and held["null_rates"], args.strict)
             for w in verdict.warn:
                 log.warning("%s: %s", year, w)
             if not verdict.ok:
                 raise ValueError("; ".join(verdict.stop))
-            files.save_records(records, args.raw_root, year)
+            files.put(arrived, f"{args.raw_root}/{year}/{files.RECORDS}")
             if args.side_copy:
-                files.side_copy(raw, f"{args.raw_root}/{year}/copy.{args.side_copy}", args.side_copy)
+                files.side_copy(files.read_raw(spark, args.raw_root, [year]), f"{args.raw_root}/{year}/copy.{args.side_copy}", args.side_copy)
         except (PortalError, ValueError) as e:
             log.error("%s: %s", year, e)
             failed += 1
+    held_rows = {y: state["rows"] for y in files.held_years(args.raw_root) if (state := files.held_state(spark, args.raw_root, y))}
+    log.info("%d rows held: %s", sum(held_rows.values()), agreement(portal.metadata()["records_count"], held_rows, {decode_year(x) for x in portal_labels(offered, args)}, bool(args.partition or args.first_year)))
     return 1 if failed else 0
 
 
+def portal_labels(offered: dict[str, int], args) -> list[str]:
+    return [encode_year(x) for x in args.partition] if args.partition else list(offered)
+
+
+def agreement(stated: int | None, held: dict[int, int], asked: set[int], partial: bool) -> str:
+    """Whether the rows held are as many as the publisher states; a run over a part of the years cannot tell."""
+    if partial:
+        return f"partial run over {len(asked)} years, not compared"
+    return "match" if sum(held.values()) == stated else f"MISMATCH, the publisher states {stated}"
+
+
 def run_curate(spark, args) -> int:
     if missing := [y for y in args.year or [] if y not in files.held_years(args.raw_root)]:
         log.error("unknown years: %s", missing)

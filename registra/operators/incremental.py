@@ -64,10 +64,16 @@ def histogram(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     return out if top is None else out.orderBy(F.desc("n"), F.asc_nulls_first(column)).limit(top)
 
 
-def partition_profile(df: DataFrame, partition: Column, key: str, issued: str, watermark: str) -> DataFrame:
-    """Rows, distinct keys, surplus rows, undated rows and the span of the watermark, per partition."""
+def partition_profile(df: DataFrame, partition: Column, key: str, issued: str, watermark: str, rates: tuple[str, ...] = (), statuses: tuple[str, ...] = ()) -> DataFrame:
+    """Rows, distinct keys, surplus rows, undated rows and the span of the watermark, per partition.
+
+    With ``rates`` also ``null_rate_<column>`` (four digits) of those columns, with ``statuses`` the rows of
+    each of those values of ``status`` as ``rows_<value>``.
+    """
     out = df.groupBy(partition.alias("partition")).agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("distinct_keys"), F.count_if(F.col(issued).isNull()).alias("undated"), F.min(watermark).alias("watermark_min"), F.max(watermark).alias("watermark_max")
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("distinct_keys"), F.count_if(F.col(issued).isNull()).alias("undated"), F.min(watermark).alias("watermark_min"), F.max(watermark).alias("watermark_max"),
+        *[F.round(F.avg(F.col(c).isNull().cast("int")), 4).alias(f"null_rate_{c}") for c in rates],
+        *[F.count_if(F.col("status") == s).alias(f"rows_{s.lower().replace(' ', '_')}") for s in statuses],
     )
     return out.withColumn("surplus_rows", F.col("row_count") - F.col("distinct_keys"))
 
@@ -82,8 +88,9 @@ def check_load(raw: DataFrame, partition: str, rules: Rules, previous_rows: int
     """Whether a freshly loaded partition can replace what is held; one pass over its rows.
 
     Stops: no rows, unknown columns, no key column, null keys, rows of another partition, a shrink beyond
-    ``rules.shrink``, and duplicates if ``strict``. Remarks: missing columns, duplicates, null rates that
-    moved beyond ``rules.null_drift``, nulls where none belong.
+    ``rules.shrink``, and duplicates if ``strict``. Remarks: missing columns, duplicates (with up to ten of
+    the keys), licence numbers whose revision occurs again, null rates that moved beyond
+    ``rules.null_drift``, nulls where none belong.
     """
     expected = {*COLUMNS, *GEO}
     stop = [f"unknown column {c}" for c in sorted({*raw.columns} - expected)]
@@ -103,6 +110,12 @@ def check_load(raw: DataFrame, partition: str, rules: Rules, previous_rows: int
         stop.append(f"shrank from {previous_rows} to {row['_n']} rows")
     if row["_keys"] < row["_n"]:
         (stop if strict else warn).append(f"{row['_n'] - row['_keys']} duplicate keys")
+        again = raw.groupBy("licencersn").count().filter("count > 1 and licencersn is not null").orderBy("licencersn").limit(10).collect()
+        warn.append(f"repeated keys: {', '.join(r.licencersn for r in again)}")
+    if {"licencenumber", "licencerevisionnumber"} <= {*here}:
+        reused = raw.groupBy("licencenumber", "licencerevisionnumber").count().agg(F.sum(F.col("count") - 1)).first()[0]
+        if reused:
+            warn.append(f"{reused} rows share licence number and revision with another")
     warn += [f"null rate of {c} moved" for c in here if previous_rates and c in previous_rates and abs(row[c] - previous_rates[c]) > rules.null_drift]
     warn += [f"nulls in {c}" for c in here if c not in rules.nullable and c != "licencersn" and row[c]]
     return Verdict(tuple(stop), tuple(warn))

@@ -81,7 +81,7 @@ def needs_refresh(spark, folder):
 
 def partition_profile(spark, folder):
     rows = curated_columns(_records(spark, folder))
-    return _plain(incremental.partition_profile(rows, F.col("folder_year"), "licence_rsn", "issued_date", "extract_date"))
+    return _plain(incremental.partition_profile(rows, F.col("folder_year"), "licence_rsn", "issued_date", "extract_date", ("licence_number", "postal_code", "fee_paid"), RULES.known_status))
 
 
 def null_rate_profile(spark, folder):

@@ -210,7 +210,9 @@ SQL = {
     "partition_probe": f"with {_PROBE} select partition, row_count, {_sec('watermark')} as watermark from offered",
     "needs_refresh": f"""with {_PROBE}, r as (select coalesce(a.partition, b.partition) as partition, case when b.row_count is null then 'new' when a.row_count is null then 'gone' when a.watermark is distinct from b.watermark then 'watermark' when a.row_count <> b.row_count then 'row_count' else 'current' end as reason
       from offered a full join held b on a.partition = b.partition) select *, reason in ('new', 'watermark', 'row_count') as refresh from r""",
-    "partition_profile": f"with {TYPED} select folder_year as partition, count(*) as row_count, count(distinct licence_rsn) as distinct_keys, count(*) filter (issued_date is null) as undated, {_sec('min(extract_date)')} as watermark_min, {_sec('max(extract_date)')} as watermark_max, count(*) - count(distinct licence_rsn) as surplus_rows from typed group by 1",
+    "partition_profile": f"with {TYPED} select folder_year as partition, count(*) as row_count, count(distinct licence_rsn) as distinct_keys, count(*) filter (issued_date is null) as undated, {_sec('min(extract_date)')} as watermark_min, {_sec('max(extract_date)')} as watermark_max, count(*) - count(distinct licence_rsn) as surplus_rows, "
+    + ", ".join([f"round(avg(cast({c} is null as int)), 4) as null_rate_{c}" for c in ("licence_number", "postal_code", "fee_paid")] + [f"count(*) filter (status = '{s}') as rows_{s.lower().replace(' ', '_')}" for s in RULES.known_status])
+    + " from typed group by 1",
     "null_rate_profile": " union all ".join(f"select '{c}' as column_name, round(avg(cast({c} is null as int)), 4) as null_rate from records" for c in RECORD_COLUMNS),
     "null_rate_drift": "select * from (" + " union all ".join(f"select '{c}' as column_name, round(avg(cast({c} is null as int)) filter (y = 2026), 4) as null_rate, round(avg(cast({c} is null as int)) filter (y = 2025), 4) as previous_rate from (select *, {_Y} as y from records)" for c in RECORD_COLUMNS) + ") where abs(null_rate - previous_rate) > 0.01",
     "volume_drift": f"with {_PROBE} select a.partition, a.row_count, b.row_count as previous_count, round((a.row_count - b.row_count) / b.row_count, 4) as change from offered a join offered b on a.partition = b.partition + 1 where (a.row_count - b.row_count) / b.row_count < -0.1",

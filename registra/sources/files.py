@@ -1,12 +1,13 @@
-"""Raw JSON arrays by year, curated and model tables as Parquet, and what is held already."""
+"""Raw JSON arrays by year, curated and model tables as Parquet, and what is held already.
+
+Every path may lie on any file system that the session's Hadoop configuration knows.
+"""
 
 from __future__ import annotations
 
 import json
-import os
-import tempfile
-from pathlib import Path
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,36 +17,71 @@ from registra.schema import RAW
 RECORDS = "records.json"
 
 
+def _at(path: str) -> tuple[JavaObject, JavaObject]:
+    """The file system of a path, and the path on it."""
+    spark = SparkSession.active()
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(path: str) -> bool:
+    system, where = _at(path)
+    return system.exists(where)
+
+
 def held_years(root: str) -> list[int]:
     """Years with a file of records, ascending; other folders are passed over."""
-    folder = Path(root)
-    return sorted(int(p.name) for p in folder.iterdir() if p.name.isdigit() and (p / RECORDS).is_file()) if folder.is_dir() else []
+    system, where = _at(root)
+    names = [s.getPath().getName() for s in system.listStatus(where)] if system.exists(where) else []
+    return sorted(int(n) for n in names if n.isdigit() and exists(f"{root}/{n}/{RECORDS}"))
 
 
-def save_records(records: list[dict], root: str, year: int) -> Path:
-    """Write a year's records as received; a reader sees the old file or the new one, never half of it."""
-    target = Path(root) / str(year) / RECORDS
-    target.parent.mkdir(parents=True, exist_ok=True)
-    handle, scratch = tempfile.mkstemp(dir=target.parent, suffix=".part")
+def land(data: bytes, path: str) -> None:
+    """Write bytes as received to a path of their own; a reader sees the whole file or none."""
+    system, part = _at(f"{path}.part")
+    out = system.create(part, True)
     try:
-        with os.fdopen(handle, "w", encoding="utf-8") as f:
-            json.dump(records, f, ensure_ascii=False)
-        os.replace(scratch, target)
-    except BaseException:
-        Path(scratch).unlink(missing_ok=True)
-        raise
+        for at in range(0, len(data), 1 << 20):
+            out.write(bytearray(data[at : at + (1 << 20)]))
+    finally:
+        out.close()
+    put(f"{path}.part", path)
+
+
+def put(source: str, target: str) -> None:
+    """Move a file into place over what is there, in one step where the file system can."""
+    spark = SparkSession.active()
+    fs = spark._jvm.org.apache.hadoop.fs
+    _, a = _at(source)
+    system, b = _at(target)
+    system.mkdirs(b.getParent())
+    options = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 1)
+    options[0] = getattr(fs, "Options$Rename").OVERWRITE
+    a, b = system.makeQualified(a), system.makeQualified(b)
+    fs.FileContext.getFileContext(b.toUri(), spark._jsc.hadoopConfiguration()).rename(a, b, options)
+
+
+def save_records(records: list[dict], root: str, year: int) -> str:
+    """Write a year's records as a JSON array."""
+    target = f"{root}/{year}/{RECORDS}"
+    land(json.dumps(records, ensure_ascii=False).encode(), target)
     return target
 
 
 def read_raw(spark: SparkSession, root: str, years: list[int] | None = None) -> DataFrame:
     """All years' records with every field as text (nested ones as their JSON); no year raises FileNotFoundError."""
     chosen = held_years(root) if years is None else years
-    paths = [str(Path(root) / str(y) / RECORDS) for y in chosen]
-    if not paths or (lost := [p for p in paths if not Path(p).is_file()]):
+    paths = [f"{root}/{y}/{RECORDS}" for y in chosen]
+    if not paths or (lost := [p for p in paths if not exists(p)]):
         raise FileNotFoundError(f"no records under {root}" if not paths else ", ".join(lost))
     return spark.read.schema(RAW).option("multiLine", True).option("mode", "FAILFAST").json(paths)
 
 
+def read_received(spark: SparkSession, path: str) -> DataFrame:
+    """One landed file with whatever columns it has, plain values as text."""
+    return spark.read.option("multiLine", True).option("mode", "FAILFAST").option("primitivesAsString", True).json(path)
+
+
 def with_row_numbers(raw: DataFrame) -> DataFrame:
     """Adds ``record_no``: rows by input partition and place in it, the same whenever the files are."""
     return raw.withColumn("record_no", F.monotonically_increasing_id())
@@ -61,9 +97,19 @@ def side_copy(df: DataFrame, path: str, kind: str) -> None:
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
     """The curated table without its folder columns; an empty or missing folder raises FileNotFoundError."""
-    if not any(Path(path).rglob("*.parquet")):
-        raise FileNotFoundError(path)
-    return spark.read.parquet(path).drop("year", "month", "issued_day")
+    system, where = _at(path)
+    found = system.listFiles(where, True) if system.exists(where) else None
+    while found is not None and found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return spark.read.parquet(path).drop("year", "month", "issued_day")
+    raise FileNotFoundError(path)
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table that ``write_tables`` left under ``root``; a missing one raises FileNotFoundError."""
+    if not exists(f"{root}/{name}/_SUCCESS"):
+        raise FileNotFoundError(f"{root}/{name}")
+    return spark.read.parquet(f"{root}/{name}")
 
 
 def write_tables(tables: dict[str, DataFrame], path: str, small: tuple[str, ...] = (), dry_run: bool = False) -> dict[str, int]:

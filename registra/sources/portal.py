@@ -96,9 +96,13 @@ class Portal:
         row = (answer.get("results") or [{}])[0]
         return int(row.get("n") or 0), row.get("w")
 
+    def received(self, label: str) -> bytes:
+        """All records of a partition as the publisher sends them."""
+        return self.get(self.export_url(label))
+
     def export(self, label: str) -> list[dict]:
-        """All records of a partition as received."""
-        return json.loads(self.get(self.export_url(label)))
+        """All records of a partition."""
+        return json.loads(self.received(label))
 
 
 def as_text(value: object) -> str | None:

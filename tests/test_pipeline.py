@@ -14,11 +14,11 @@ from registra.operators.casting import cast_losses, curated_columns
 from registra.operators.curate import curate, write_daily
 from registra.operators.incremental import check_load, histogram, null_drift, null_rates, reconcile, refresh_plan, volume_drift
 from registra.operators.quality import coordinate_counts, day_window, duplicate_keys, flag_counts
-from registra.operators.sequence import previous_rows
+from registra.operators.sequence import previous_rows, spans
 from registra.schema import RAW, Rules, resolve
 from registra.sources import files
 from registra.sources.portal import Portal, PortalError, decode_year, encode_year, fetch, register
-from registra.streaming.ingest import curate_stream, daily_counts
+from registra.streaming.ingest import curate_stream, daily_counts, read_streamed
 
 NOW = "2026-06-01 00:00:00"
 
@@ -121,6 +121,7 @@ def test_command_line(spark, portal, tmp_path):
     assert cli.main([*fetch_args, "--partition", "1999"]) == 2
     assert cli.main([*fetch_args, "--dry-run"]) == 0 and files.held_years(raw) == []
     assert cli.main([*fetch_args, "--side-copy", "csv"]) == 0 and files.held_years(raw) == [2024, 2025]
+    assert (tmp_path / "raw/2025/records.json").read_bytes() == Portal(base, "licences").received("25")  # as sent
     before = (tmp_path / "raw/2025/records.json").stat().st_mtime_ns
     assert cli.main(fetch_args) == 0 and (tmp_path / "raw/2025/records.json").stat().st_mtime_ns == before  # nothing changed
     data["25"].pop()
@@ -138,7 +139,7 @@ def test_saved_whole_and_read_as_text(spark, tmp_path):
     files.save_records([record("1")], str(tmp_path), 2025)
     row = files.read_raw(spark, str(tmp_path)).first()
     assert row["licencersn"] == "1" and json.loads(row["geo_point_2d"]) == {"lon": -123.1, "lat": 49.2}
-    assert [p.name for p in (tmp_path / "2025").iterdir()] == ["records.json"]
+    assert [p.name for p in (tmp_path / "2025").iterdir() if not p.name.startswith(".")] == ["records.json"]  # beside a checksum
     with pytest.raises(FileNotFoundError):
         files.read_raw(spark, str(tmp_path), [2031])
     (tmp_path / "2026").mkdir()
@@ -201,6 +202,8 @@ def test_load_checks(spark):
     assert check_load(raw, "24", Rules()).stop == ("2 rows of another partition",)
     assert check_load(raw, "25", Rules(), previous_rows=3).stop == ("shrank from 3 to 2 rows",)
     assert check_load(raw.unionAll(raw), "25", Rules(), strict=True).stop == ("2 duplicate keys",) and check_load(raw.unionAll(raw), "25", Rules()).ok
+    twice = check_load(raw.unionAll(raw), "25", Rules())
+    assert "repeated keys: 1, 2" in twice.warn and any("share licence number and revision" in w for w in twice.warn)
     assert "null rate of house moved" in check_load(raw.withColumn("house", F.lit(None).cast("string")), "25", Rules(), previous_rates={"house": 0.0}).warn
     assert "null keys" in check_load(raw.withColumn("licencersn", F.lit(None).cast("string")), "25", Rules()).stop
 
@@ -216,6 +219,26 @@ def test_refresh_and_drift(spark):
     assert [r.n for r in histogram(spark.createDataFrame([("x",), ("x",), ("y",)], "v string"), "v", 1).collect()] == [2]
 
 
+def test_what_the_publisher_states():
+    held = {2024: 3, 2025: 4}
+    assert cli.agreement(7, held, {2024, 2025}, False) == "match" and "MISMATCH" in cli.agreement(8, held, {2024, 2025}, False)
+    assert cli.agreement(7, held, {2024}, True).startswith("partial")
+
+
+def test_spans_of_one_hot_entity(spark):
+    """Spans over many partitions go on counting across their bounds; null says nothing."""
+    value = lambda i: None if i % 11 == 0 else f"v{i // 50}"
+    df = spark.createDataFrame([(1 if i % 10 else 2, i, value(i)) for i in range(3000)], "e int, o int, a string").repartition(7)
+    got = sorted(spans(df, "e", [F.col("o")], ["a"]).collect(), key=lambda r: (r.e, r.o))
+    last = {}
+    for r in got:
+        before, n = last.get(r.e, (None, 0))
+        n += r.e not in last or None not in (before, r.a) and before != r.a
+        assert r._span == n
+        last[r.e] = (r.a, n)
+    assert len(got) == 3000 and max(r._span for r in got) > 40
+
+
 def test_settings():
     assert resolve({"shrink": 0.2}, {"shrink": None, "known_status": ["A"]}).shrink == 0.2
     with pytest.raises(TypeError):
@@ -245,6 +268,10 @@ def test_stream(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         curate_stream(spark, str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ck"), NOW).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    files.save_records([record("1", house="77"), record("3"), record(None)], str(tmp_path / "raw"), 2026)
+    curate_stream(spark, str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ck"), NOW).awaitTermination(120)
+    kept, rejected = read_streamed(spark, str(tmp_path / "out"))
+    assert {r.licence_rsn: r.house for r in kept.collect()}[1] == "77" and kept.count() == 3 and rejected.count() == 2
     (tmp_path / "events").mkdir()
     stream = spark.readStream.schema("at timestamp, status string").json(str(tmp_path / "events"))
     assert stream.isStreaming and daily_counts(stream, "at").columns == ["day", "status", "n"]
