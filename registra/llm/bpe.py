@@ -120,24 +120,31 @@ class BytePairs:
         def rank(piece: Column) -> Column:
             return F.coalesce(self._rank(m, piece), F.lit(NO_RANK))
 
-        letters = F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: F.substring(word, i, F.lit(1)))
-        ranks = F.transform(F.slice(letters, F.lit(1), F.size(letters) - 1), lambda c, i: rank(F.concat(c, F.get(letters, i + 1))))
-
         def step(state: Column, _: Column) -> Column:
             p, r = state["p"], state["r"]
-            least = F.coalesce(F.array_min(r), F.lit(NO_RANK))
-            at = F.array_position(r, least).cast("int")
-            joined = F.concat(F.get(p, at - 1), F.get(p, at))
             none = F.slice(r, 1, 0)
-            before = F.when(at > 1, F.array(rank(F.concat(F.get(p, at - 2), joined)))).otherwise(none)
-            behind = F.when(at + 1 < F.size(p), F.array(rank(F.concat(joined, F.get(p, at + 1))))).otherwise(none)
-            pieces = F.concat(F.slice(p, F.lit(1), at - 1), F.array(joined), F.slice(p, at + 2, F.size(p)))
-            nearby = F.concat(F.slice(r, F.lit(1), F.greatest(at - 2, F.lit(0))), before, behind, F.slice(r, at + 2, F.size(r)))
             over = F.struct(p.alias("p"), none.alias("r"))  # without ranks the steps that are left cost nothing
-            return F.when(least < NO_RANK, F.struct(pieces.alias("p"), nearby.alias("r"))).otherwise(over)
 
-        start = F.struct(letters.alias("p"), ranks.alias("r"))
-        return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(letters), F.lit(2))), start, step, lambda s: F.transform(s["p"], lambda w: self._rank(m, w)))
+            def merged(at: Column, joined: Column) -> Column:
+                before = F.when(at > 1, F.array(rank(F.concat(F.get(p, at - 2), joined)))).otherwise(none)
+                behind = F.when(at + 1 < F.size(p), F.array(rank(F.concat(joined, F.get(p, at + 1))))).otherwise(none)
+                pieces = F.concat(F.slice(p, F.lit(1), at - 1), F.array(joined), F.slice(p, at + 2, F.size(p)))
+                nearby = F.concat(F.slice(r, F.lit(1), F.greatest(at - 2, F.lit(0))), before, behind, F.slice(r, at + 2, F.size(r)))
+                return F.struct(pieces.alias("p"), nearby.alias("r"))
+
+            def at_least(least: Column) -> Column:
+                spot = F.array_position(r, least).cast("int")
+                found = bound(spot, lambda at: bound(F.concat(F.get(p, at - 1), F.get(p, at)), lambda joined: merged(at, joined)))
+                return F.when(least < NO_RANK, found).otherwise(over)
+
+            return bound(F.coalesce(F.array_min(r), F.lit(NO_RANK)), at_least)
+
+        def fold(letters: Column) -> Column:
+            ranks = F.transform(F.slice(letters, F.lit(1), F.size(letters) - 1), lambda c, i: rank(F.concat(c, F.get(letters, i + 1))))
+            start = F.struct(letters.alias("p"), ranks.alias("r"))
+            return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(letters), F.lit(2))), start, step, lambda s: F.transform(s["p"], lambda w: self._rank(m, w)))
+
+        return bound(F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: F.substring(word, i, F.lit(1))), fold)
 
     def encode(self, df: DataFrame, key: str = "doc_id", text: str = "text", salts: int | None = None) -> DataFrame:
         """``key`` and ``ids`` (array of int) of each row, without special tokens or clean-up.
@@ -152,16 +159,15 @@ class BytePairs:
         rows = busy(df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))).withColumn("_row", F.monotonically_increasing_id())
         words = F.transform(F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit(split_pattern()), F.lit(0)), lambda w: w.cast("binary"))
         split = rows.select("_key", "_row", words.alias("_words")).withColumn("_ids", self.ranks(F.col("_words")))
-        lacking = F.filter(F.transform("_words", lambda w, i: F.when(F.get("_ids", i).isNull(), F.struct(i.alias("at"), w.alias("word")))), lambda x: x.isNotNull())
+        gaps = F.filter(F.when(F.size("_ids") > 0, F.sequence(F.lit(0), F.size("_ids") - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.get("_ids", i).isNull())
+        lacking = F.transform(gaps, lambda i: F.struct(i.alias("at"), F.get("_words", i).alias("word")))
         split = cut(split.select("_key", "_row", F.transform("_ids", lambda i: F.coalesce(i, F.lit(-1))).alias("_known"), lacking.alias("_lacking")))
         unknown = split.select("_row", F.inline("_lacking")).withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int"))
         salted = cut(unknown.select("word", "_salt").distinct())
         encoded = spread(salted.select("word").distinct()).select("word", self.merge(F.col("word")).alias("ids"))
         filled = unknown.join(shuffled(salted.join(shuffled(encoded), "word")), ["word", "_salt"]).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("_fill"))
-        joined = split.select("_key", "_row", "_known").join(shuffled(filled), "_row", "left")
-
-        at = F.transform("_fill", lambda x: x["at"])
-        n = F.size("_fill")
+        joined = split.select("_key", "_row", "_known").join(shuffled(filled), "_row", "left").withColumn("_at", F.transform("_fill", lambda x: x["at"]))
+        at, n = F.col("_at"), F.size("_fill")
 
         def part(j: Column) -> Column:
             begin = F.when(j == 0, F.lit(0)).otherwise(F.get(at, j - 1) + 1)
