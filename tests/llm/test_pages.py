@@ -120,7 +120,7 @@ def test_features(spark):
     text = "Buy now, buy now. <b>Buy</b> now! http://a.example #sale"
     got = page_features(spark.createDataFrame([(text,), (None,), ("",)], "text string"), "text").collect()
     units = 8
-    assert [round(got[0][f] * units, 6) for f in ("link_share", "tag_share", "end_share", "separator_share")] == [1, 1, 1, 1]
+    assert [round(got[0][f] * units, 6) for f in ("link_share", "tag_share", "end_share", "separator_share")] == [1, 1, 2, 1]
     assert [round(got[0][f], 4) for f in ("word_variety", "pair_variety", "phrase_variety")] == [round(2 / 6, 4), round(2 / 5, 4), 1.0]
     assert [tuple(r[f] for f in FEATURES[:6]) for r in got[1:]] == [(0.0, 0.0, 1.0, 1.0, 1.0, 0.0)] * 2
     assert got[1].end_share == got[1].separator_share == got[1].sentence_words == 0
